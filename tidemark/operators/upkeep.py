@@ -12,7 +12,14 @@ from tidemark.operators.joins import count_reconcile
 from tidemark.session import scratch
 from tidemark.sources.inventory import file_inventory, partition_sizes, with_target_files
 from tidemark.sources.sinks import create_like, overwrite_partition
-from tidemark.sources.tables import partition_scan, spec_sql, table_exists, table_location
+from tidemark.sources.tables import (
+    partition_columns,
+    partition_scan,
+    show_partitions,
+    spec_sql,
+    table_exists,
+    table_location,
+)
 
 OK, COUNT_MISMATCH, EMPTY_SOURCE = "ok", "count_mismatch", "empty_source"
 MISSING_SOURCE, READ_ERROR = "missing_source", "read_error"
@@ -78,20 +85,63 @@ def copy_partition(
     return verify_partition(spark, source, partition_scan(spark.table(target), spec), spec)
 
 
-def stage_compacted(
-    spark: SparkSession, name: str, spec: dict[str, object], threshold: int = MERGE_THRESHOLD,
-    staged: str | None = None,
-) -> str:
-    """Write one partition into a new folder with as few files as its size asks for.
+def compact_partition(
+    spark: SparkSession, name: str, spec: dict[str, object], threshold: int = MERGE_THRESHOLD
+) -> tuple[str, str | None]:
+    """Rewrite one partition into as few files as its size asks for and publish it when the
+    counts agree; see `publish_verified` for the result.
 
     Rows are dealt out evenly, not by a key, so no file waits for a heavy value.
     """
-    sizes = partition_sizes(file_inventory(spark, table_location(spark, name, spec)).withColumn("partition", F.lit("")))
+    sizes = partition_sizes(file_inventory(spark, table_location(spark, name, spec)))
     # One row: the sizes of one partition.
     files = with_target_files(sizes, threshold).first()["target_files"]
-    staged = staged or scratch(spark, "compacted")
+    staged = f"{scratch(spark, 'compacted')}/{spec_path(spec)}"
     partition_scan(spark.table(name), spec).repartition(files).write.parquet(staged)
-    return staged
+    return publish_verified(spark, name, spec, staged)
+
+
+def compact_table(spark: SparkSession, name: str, threshold: int = MERGE_THRESHOLD) -> dict[str, str]:
+    """Compact all partitions that have more files than they should; {partition: outcome}.
+
+    One job rewrites them together. Each row draws one of its partition's file numbers from a
+    hash of all its columns, so a partition that holds most of the table is still written by
+    as many tasks as it gets files. One more job compares the counts, then the catalog is
+    pointed to the new folders where they agree.
+    """
+    levels = partition_columns(spark, name)
+    specs = {r["partition"]: parse_spec(r["partition"]) for r in show_partitions(spark, name).toLocalIterator()}
+    folders = [table_location(spark, name, spec) for spec in specs.values()]
+    sizes = with_target_files(partition_sizes(file_inventory(spark, folders)), threshold)
+    crowded = sizes.filter("files > target_files").select(F.col("partition").alias("_spec"), "target_files")
+    # One row per catalog partition.
+    wanted = {r["_spec"]: r["target_files"] for r in crowded.toLocalIterator()}
+    if not wanted:
+        return {}
+    chosen = spark.createDataFrame(list(wanted.items()), "_spec string, _files bigint")
+    spec = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in levels])
+    rows = spark.table(name).withColumn("_spec", spec).join(F.broadcast(chosen), "_spec")
+    number = F.pmod(F.xxhash64(*spark.table(name).columns), F.col("_files"))
+    dealt = rows.withColumn("_no", number).repartition(sum(wanted.values()), "_spec", "_no")
+    staged = scratch(spark, "compacted")
+    dealt.drop("_spec", "_files", "_no").write.partitionBy(*levels).parquet(staged)
+
+    written = spark.read.schema(spark.table(name).schema).parquet(staged).withColumn("_spec", spec)
+    compared = count_reconcile(rows.select("_spec"), written.select("_spec"), "_spec")
+    outcomes = {}
+    for row in compared.toLocalIterator():
+        outcomes[row["_spec"]] = OK if row["status"] == "ok" else COUNT_MISMATCH
+        if row["status"] == "ok":
+            point_partition(spark, name, specs[row["_spec"]], f"{staged}/{row['_spec']}")
+    return outcomes
+
+
+def parse_spec(spec: str) -> dict[str, str]:
+    return dict(level.split("=", 1) for level in spec.split("/"))
+
+
+def spec_path(spec: dict[str, object]) -> str:
+    return "/".join(f"{name}={value}" for name, value in spec.items())
 
 
 def publish_verified(spark: SparkSession, name: str, spec: dict[str, object], staged: str) -> tuple[str, str | None]:
@@ -117,9 +167,3 @@ def point_partition(spark: SparkSession, name: str, spec: dict[str, object], loc
     spark.sql(f"ALTER TABLE {name} PARTITION ({spec_sql(spec)}) SET LOCATION '{location}'")
     spark.catalog.refreshTable(name)
 
-
-def compact_partition(
-    spark: SparkSession, name: str, spec: dict[str, object], threshold: int = MERGE_THRESHOLD
-) -> tuple[str, str | None]:
-    """Rewrite one partition with fewer files and publish it when the counts agree."""
-    return publish_verified(spark, name, spec, stage_compacted(spark, name, spec, threshold))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.paths import MERGE_THRESHOLD, target_files
 
 
-def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(path, partition, length, modified) for each data file below a folder.
+def file_inventory(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, partition, length, modified) for each data file below a folder or several.
 
     Files are listed, not opened, because `content` is never selected. `partition` is the
     `a=1/b=2` part of the path, empty where there is none.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-AMOUNT = T.StructType.fromDDL("memory bigint, vCores bigint")
+AMOUNT = T.StructType([T.StructField("memory", T.LongType()), T.StructField("vCores", T.LongType())])
 USAGE = T.StructType([
     T.StructField("partitionName", T.StringType()),
     T.StructField("pending", AMOUNT),
