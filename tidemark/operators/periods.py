@@ -14,7 +14,7 @@ from datetime import timedelta
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,8 @@ def period_positions(
     inclusive: bool = True,
     chunk_rows: int | None = None,
 ) -> DataFrame:
-    """Every row with `period_pos`, its 1-based place inside its period.
+    """Every row with `period_pos`, its 1-based place inside its period, and `period_start`, the
+    period's first time in epoch microseconds.
 
     A row that comes exactly `length` after the period's first row starts a new period when
     `inclusive`, and still belongs to the old one otherwise.
@@ -48,7 +49,8 @@ def period_positions(
     else:
         rows = rows.withColumns({"_open": F.lit(None).cast("long"), "_open_rows": F.lit(None).cast("long")})
     ordered = rows.withColumn("_first", F.row_number().over(laid.local) == 1)
-    schema = T.StructType([*ordered.schema.fields, T.StructField("period_pos", T.LongType())])
+    added = [T.StructField(name, T.LongType()) for name in ("period_pos", "period_start")]
+    schema = T.StructType([*ordered.schema.fields, *added])
     walked = ordered.mapInArrow(_walker(least), schema)
     return walked.drop(CHUNK, "_us", "_open", "_open_rows", "_first")
 
@@ -61,7 +63,7 @@ def _walker(least: int):
         for batch in batches:
             columns = (batch.column(batch.schema.get_field_index(n)).to_pylist()
                        for n in ("_first", "_us", "_open", "_open_rows"))
-            places = []
+            places, starts = [], []
             for first, now, opened, opened_rows in zip(*columns):
                 if first:
                     start, place = opened, opened_rows or 0
@@ -70,10 +72,10 @@ def _walker(least: int):
                 else:
                     place += 1
                 places.append(place)
-            fields = [*batch.schema, pa.field("period_pos", pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(places, pa.int64())], schema=pa.schema(fields)
-            )
+                starts.append(start)
+            names = [*batch.schema.names, "period_pos", "period_start"]
+            added = [pa.array(column, pa.int64()) for column in (places, starts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 
     return walk
 
@@ -192,7 +194,11 @@ def throttle(
     With `inclusive=False` a row exactly `interval` later is not kept.
     """
     rows = period_positions(df, keys, time, row_id, interval, inclusive, chunk_rows)
-    return rows.filter(F.col("period_pos") == 1).drop("period_pos")
+    return rows.filter(F.col("period_pos") == 1).drop("period_pos", "period_start")
+
+
+def cap_outcome(place: Column, cap: int) -> Column:
+    return F.when(place <= cap, PASSED).when(place == cap + 1, FLAGGED).otherwise(DROPPED)
 
 
 def click_cap(
@@ -215,6 +221,4 @@ def click_cap(
         rows = rows.withColumnRenamed("running_count", "period_pos")
     else:
         rows = period_positions(df, keys, time, row_id, ttl, True, chunk_rows)
-    place = F.col("period_pos")
-    outcome = F.when(place <= cap, PASSED).when(place == cap + 1, FLAGGED).otherwise(DROPPED)
-    return rows.withColumn("outcome", outcome).drop("period_pos")
+    return rows.withColumn("outcome", cap_outcome(F.col("period_pos"), cap)).drop("period_pos", "period_start")

@@ -7,7 +7,7 @@ timers first.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -17,9 +17,11 @@ from tidemark.session import scratch
 from tidemark.sources.sinks import setting
 from tidemark.sources.tables import table
 from tidemark.streaming import operators, processors
+from tidemark.streaming.microbatch import Incremental, match_step, period_step, running_step, sequence_step
 from tidemark.streaming.sources import batch_files, read_stream, run_batches, run_to_files, with_event_time
 
 BOUND = "10 seconds"
+TEN_SECONDS = timedelta(seconds=10)
 SENTINEL = "sentinel"
 PARTITIONS = "spark.sql.shuffle.partitions"
 
@@ -57,8 +59,80 @@ def unzoned(rows, *columns):
     return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+# --- per-key operators, a batch job per micro-batch -------------------------------------------
+
+
+def drained_by_batch(spark, stream, step):
+    path = scratch(spark, "stream")
+    handler = Incremental(path, "ts", TEN_SECONDS, step)
+    run_batches(stream, handler, scratch(spark, "checkpoint"))
+    found = handler.results(spark)
+    return found.filter("user_id <> -1") if "user_id" in found.columns else found
+
+
 @query("stream_sequence", ORACLES["sequence_timeout"])
 def stream_sequence(spark, sf):
+    step = sequence_step("user_id", "event_type", "ts", "event_id", "view", "purchase", batch.SIX_HOURS)
+    return unzoned(drained_by_batch(spark, event_stream(spark, sf), step), "started_at", "done_at")
+
+
+@query("stream_match", ORACLES["two_stream_match"])
+def stream_match(spark, sf):
+    rows = kinds(event_stream(spark, sf), "click", "purchase")
+    rows = rows.withColumn("side", F.when(F.col("event_type") == "purchase", 1).otherwise(0))
+    step = match_step("user_id", "ts", "event_id", "side", batch.SIX_HOURS, batch.LEFT_ONLY, batch.RIGHT_ONLY)
+    return unzoned(drained_by_batch(spark, rows, step), "left_time", "right_time")
+
+
+CAPPED_SQL = f"SELECT user_id, event_id, outcome FROM ({batch.CAP_SQL}) WHERE outcome <> 'dropped'"
+
+
+@query("stream_blacklist", CAPPED_SQL)
+def stream_blacklist(spark, sf):
+    clicks = kinds(event_stream(spark, sf), "click")
+    found = drained_by_batch(spark, clicks, running_step("user_id", "ts", "event_id", cap=10))
+    return found.select("user_id", "event_id", "outcome")
+
+
+@query("stream_blacklist_ttl", f"SELECT * FROM ({ORACLES['click_blacklist_ttl']}) WHERE outcome <> 'dropped'")
+def stream_blacklist_ttl(spark, sf):
+    clicks = kinds(event_stream(spark, sf), "click")
+    step = period_step("user_id", "ts", "event_id", batch.FIVE_DAYS, cap=2)
+    return unzoned(drained_by_batch(spark, clicks, step), "ts")
+
+
+@query("stream_throttle", ORACLES["throttle"])
+def stream_throttle(spark, sf):
+    errors = kinds(event_stream(spark, sf), "error")
+    step = period_step("user_id", "ts", "event_id", batch.SIX_HOURS)
+    return unzoned(drained_by_batch(spark, errors, step), "ts")
+
+
+RUNNING_SQL = batch.RUNNING_CTE + """
+SELECT user_id, event_id, n AS running_count, CAST(total AS DOUBLE) / 100 AS running_sum FROM r"""
+
+
+@query("stream_running", RUNNING_SQL)
+def stream_running(spark, sf):
+    rows = event_stream(spark, sf).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    found = drained_by_batch(spark, rows, running_step("user_id", "ts", "event_id", "value"))
+    total = F.col("running_sum").cast("double").alias("running_sum")
+    return found.select("user_id", "event_id", "running_count", total)
+
+
+@query("stream_running_avg", ORACLES["running_avg"])
+def stream_running_avg(spark, sf):
+    rows = event_stream(spark, sf).withColumn("value", F.col("value").cast("decimal(18,2)"))
+    found = drained_by_batch(spark, rows, running_step("user_id", "ts", "event_id", "value"))
+    average = F.round(F.col("running_sum") / F.col("running_count"), 6).cast("double").alias("running_avg")
+    return found.filter("running_count >= 2").select("user_id", "event_id", average)
+
+
+# --- the same with keyed state and timers ------------------------------------------------------
+
+
+@query("timer_sequence", ORACLES["sequence_timeout"])
+def timer_sequence(spark, sf):
     rows = with_event_time(event_stream(spark, sf), "ts", BOUND)
     found = processors.stream_sequence(
         rows, "user_id", "event_type", "ts", "event_id", "view", "purchase", batch.SIX_HOURS
@@ -66,8 +140,8 @@ def stream_sequence(spark, sf):
     return unzoned(drained(spark, found).withColumnRenamed("id", "event_id"), "started_at", "done_at")
 
 
-@query("stream_match", ORACLES["two_stream_match"])
-def stream_match(spark, sf):
+@query("timer_match", ORACLES["two_stream_match"])
+def timer_match(spark, sf):
     rows = event_stream(spark, sf)
     found = processors.stream_match(
         kinds(rows, "click"), rows.filter("event_type = 'purchase'"), "user_id", "ts", "event_id",
@@ -76,38 +150,41 @@ def stream_match(spark, sf):
     return unzoned(drained(spark, found).filter("user_id <> -1"), "left_time", "right_time")
 
 
-@query("stream_blacklist", f"SELECT user_id, event_id, outcome FROM ({batch.CAP_SQL}) WHERE outcome <> 'dropped'")
-def stream_blacklist(spark, sf):
+@query("timer_blacklist", CAPPED_SQL)
+def timer_blacklist(spark, sf):
     clicks = with_event_time(kinds(event_stream(spark, sf), "click"), "ts", BOUND)
     found = processors.stream_click_cap(clicks, "user_id", "ts", "event_id", 10)
     return drained(spark, found).filter("user_id <> -1").withColumnRenamed("id", "event_id")
 
 
-@query("stream_throttle", f"SELECT user_id, event_id FROM ({ORACLES['throttle']})")
-def stream_throttle(spark, sf):
+@query("timer_throttle", f"SELECT user_id, event_id FROM ({ORACLES['throttle']})")
+def timer_throttle(spark, sf):
     errors = with_event_time(kinds(event_stream(spark, sf), "error"), "ts", BOUND)
     found = processors.stream_throttle(errors, "user_id", "ts", "event_id", batch.SIX_HOURS)
     return drained(spark, found).filter("user_id <> -1").withColumnRenamed("id", "event_id")
 
 
-@query("stream_running", batch.RUNNING_CTE + """
+@query("timer_running", batch.RUNNING_CTE + """
 SELECT user_id, event_id, n AS running_count, CAST(total AS BIGINT) AS running_cents FROM r""")
-def stream_running(spark, sf):
+def timer_running(spark, sf):
     rows = with_event_time(event_stream(spark, sf), "ts", BOUND)
     found = processors.stream_running(rows, "user_id", "ts", "event_id", F.round(F.col("value") * 100))
     found = drained(spark, found).filter("user_id <> -1")
     return found.toDF("user_id", "event_id", "running_count", "running_cents")
 
 
-@query("stream_running_avg", batch.RUNNING_CTE + """
+@query("timer_running_avg", batch.RUNNING_CTE + """
 SELECT user_id, event_id, CAST(total AS DOUBLE) / CAST(n AS DOUBLE) AS running_avg FROM r WHERE n >= 2""")
-def stream_running_avg(spark, sf):
+def timer_running_avg(spark, sf):
     rows = with_event_time(event_stream(spark, sf), "ts", BOUND)
     found = processors.stream_running_average(rows, "user_id", "ts", "event_id", F.round(F.col("value") * 100))
     found = drained(spark, found).filter("user_id <> -1")
     return found.select("user_id", F.col("id").alias("event_id"), "running_avg")
 
 
+# --- Spark's own stream operators ---------------------------------------------------------------
+
+
 @query("stream_sliding_count", ORACLES["sliding_count"])
 def stream_sliding_count(spark, sf):
     rows = with_event_time(event_stream(spark, sf), "ts", BOUND)

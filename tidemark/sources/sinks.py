@@ -36,8 +36,12 @@ def create_like(spark: SparkSession, source: str, target: str, location: str | N
 
 
 def create_partitioned(spark: SparkSession, df: DataFrame, name: str, partition, location: str) -> None:
-    """A new parquet table at a location, filled from `df`."""
-    df.write.format("parquet").partitionBy(*partition).option("path", location).saveAsTable(name)
+    """A new parquet table at a location, filled from `df`.
+
+    The rebalance hint gathers the rows of a partition into few files and splits a partition
+    that would fill more than one task.
+    """
+    df.hint("rebalance", *partition).write.format("parquet").partitionBy(*partition).option("path", location).saveAsTable(name)
 
 
 def overwrite_partition(df: DataFrame, name: str, spec: dict[str, object]) -> None:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from tidemark.operators.periods import FLAGGED, PASSED
 from tidemark.operators.sequences import BROKEN, DONE, TIMED_OUT
 
 WAITING = "rows array<struct<us: bigint, id: bigint, tag: string, amount: bigint>>"
+LOT = 4_096
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -49,8 +51,14 @@ class InOrder(StatefulProcessor):
         self.state = handle.getValueState("state", self.state_schema)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        # Rows go on to the state in small lots, so the worker never holds a whole key.
+        while lot := list(islice(rows, LOT)):
+            self.store(lot)
+        return iter(())
+
+    def store(self, lot) -> None:
         grouped: dict[int, list] = {}
-        for r in rows:
+        for r in lot:
             grouped.setdefault(r["us"] // 1000, []).append((r["us"], r["id"], r["tag"], r["amount"]))
         for ms, new in grouped.items():
             held = self.waiting.getValue((ms,))
@@ -61,7 +69,6 @@ class InOrder(StatefulProcessor):
             if self.limit is not None:
                 for us in {n[0] for n in new}:
                     self.handle.registerTimer((us + self.limit) // 1000 + 1)
-        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         due = expiredTimerInfo.getExpiryTimeInMs()
