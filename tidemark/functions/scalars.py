@@ -60,7 +60,7 @@ def lenient_int(text: Column | str) -> Column:
     value = F.when(size <= 10, significant).cast("long")
     signed = F.when(negative, -value).otherwise(value)
     clamped = F.greatest(F.lit(INT_MIN), F.least(F.lit(INT_MAX), signed))
-    return F.when(size == 0, None).when(size > 10, bound).otherwise(clamped).cast("int")
+    return F.when(size.isNull() | (size == 0), None).when(size > 10, bound).otherwise(clamped).cast("int")
 
 
 def well_bracketed(text: Column | str, ignore_other: bool = False) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from tidemark.sources.tables import (
 
 OK, COUNT_MISMATCH, EMPTY_SOURCE = "ok", "count_mismatch", "empty_source"
 MISSING_SOURCE, READ_ERROR = "missing_source", "read_error"
+READ_FAILURES = (PySparkException, Py4JJavaError)
 OUTCOME_SCHEMA = "outcome string, source_rows bigint, target_rows bigint"
 
 
@@ -63,7 +65,7 @@ def verify_partition(spark: SparkSession, source: str, target: DataFrame, spec:
         try:
             counts = [partition_scan(spark.table(source), spec).count(), target.count()]
             outcome = EMPTY_SOURCE if counts[0] == 0 else OK if counts[0] == counts[1] else COUNT_MISMATCH
-        except PySparkException:
+        except READ_FAILURES:
             pass
     return spark.createDataFrame([(outcome, *counts)], OUTCOME_SCHEMA)
 
@@ -153,7 +155,7 @@ def publish_verified(spark: SparkSession, name: str, spec: dict[str, object], st
     old = table_location(spark, name, spec)
     try:
         target = spark.read.parquet(staged)
-    except PySparkException:
+    except READ_FAILURES:
         return READ_ERROR, None
     # One row.
     outcome = verify_partition(spark, name, target, spec).first()["outcome"]
