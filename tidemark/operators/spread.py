@@ -23,6 +23,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import shared_folder
 
@@ -31,6 +32,7 @@ MAX_HEAVY = 5_000
 TRACKED_KEYS = 20_000
 MAX_CHUNKS = 10_000
 SAMPLES_PER_CHUNK = 100
+CELLS_PER_CHUNK = 4
 DEFAULT_CHUNK_ROWS = 4_000_000
 
 
@@ -111,28 +113,63 @@ def spread(df: DataFrame, keys, order, chunk_rows: int | None = None) -> Spread:
     if not heavy:
         return Spread(df.withColumn(CHUNK, F.lit(None).cast("int")), keys, order, False)
     borders = _borders(df, keys, order, code, heavy, size)
-    position = F.struct(*keys, *order)
-    rows = df.withColumn("_code", code).join(F.broadcast(borders), "_code", "left")
-    chunk = F.when(F.col("_borders").isNotNull(), count_not_above(F.col("_borders"), position))
-    rows = rows.withColumn(CHUNK, chunk).drop("_code", "_borders")
-    return Spread(rows, keys, order, True)
-
-
-def count_not_above(sorted_values: Column, probe: Column) -> Column:
-    """How many entries of a sorted array are <= probe, by halving."""
-    rounds = F.ceil(F.log2(F.size(sorted_values) + F.lit(1))).cast("int") + F.lit(1)
-    start = F.struct(F.lit(0).alias("lo"), F.size(sorted_values).alias("hi"))
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.shiftright(span["lo"] + span["hi"], 1)
-        below = F.get(sorted_values, middle) <= probe
-        return (
-            F.when(span["lo"] >= span["hi"], span)
-            .when(below, F.struct((middle + 1).alias("lo"), span["hi"].alias("hi")))
-            .otherwise(F.struct(span["lo"].alias("lo"), middle.alias("hi")))
-        )
+    return Spread(_with_chunks(df, borders, keys, order, code), keys, order, True)
+
 
-    return F.aggregate(F.sequence(F.lit(1), rounds), start, halve, lambda span: span["lo"])
+def _with_chunks(df: DataFrame, borders: DataFrame, keys, order, code: Column) -> DataFrame:
+    """Look up each row's chunk by two broadcast hash joins.
+
+    The span of a key's first ordering column is cut into a grid with a few cells per chunk.
+    A row finds its cell by arithmetic and then compares itself with the chunks that
+    touch this cell only, usually one or two.
+    """
+    kind, edges = df.schema[order[0]].dataType, F.col("_borders")
+    at = _scale(F.col(order[0]), kind)
+    ends = F.transform(edges, lambda b: _scale(b[order[0]], kind))
+    low, high, size = F.array_min(ends), F.array_max(ends), F.size(edges)
+    grid = borders.select(
+        "_no", F.col("_code").alias("_grid_code"), *[F.col(k).alias(f"_grid_{k}") for k in keys],
+        F.coalesce(low, F.lit(0)).alias("_low"), (size * CELLS_PER_CHUNK + 1).alias("_last"),
+        F.greatest(F.lit(1.0), (high - low) / (size * CELLS_PER_CHUNK)).alias("_width"), "_borders",
+    )
+
+    def cell(value: Column) -> Column:
+        # Grows with the value, so a row between two borders lies between their cells. Nulls
+        # sort first, hence the first cell.
+        place = F.floor((value - F.col("_low")) / F.col("_width")) + 1
+        bounded = F.greatest(F.lit(0), F.least(F.col("_last"), place))
+        return F.when(value.isNull(), 0).otherwise(bounded).cast("int")
+
+    open_end = F.lit(None).cast(borders.schema["_borders"].dataType.elementType)
+    begins = F.posexplode(F.concat(F.array(open_end), edges)).alias(CHUNK, "_from")
+    cuts = grid.select("_no", "_low", "_width", "_last", begins, edges)
+    cuts = cuts.withColumn("_upto", F.get("_borders", F.col(CHUNK)))
+    begin = F.when(F.col("_from").isNull(), 0).otherwise(cell(_scale(F.col("_from")[order[0]], kind)))
+    end = F.when(F.col("_upto").isNull(), F.col("_last")).otherwise(cell(_scale(F.col("_upto")[order[0]], kind)))
+    cells = cuts.select(
+        F.col("_no").alias("_cell_no"), CHUNK, "_from", "_upto", F.explode(F.sequence(begin, end)).alias("_cell")
+    )
+
+    same = [F.col(k).eqNullSafe(F.col(f"_grid_{k}")) for k in keys]
+    on_key = reduce(lambda a, b: a & b, same, F.col("_code") == F.col("_grid_code"))
+    rows = df.withColumn("_code", code).join(F.broadcast(grid.drop("_borders")), on_key, "left")
+    rows = rows.withColumn("_own_cell", F.when(F.col("_no").isNotNull(), cell(at)))
+    place = F.struct(*order)
+    inside = (
+        (F.col("_no") == F.col("_cell_no")) & (F.col("_own_cell") == F.col("_cell"))
+        & (F.col("_from").isNull() | (place >= F.col("_from")))
+        & (F.col("_upto").isNull() | (place < F.col("_upto")))
+    )
+    return rows.join(F.broadcast(cells), inside, "left").select(*df.columns, CHUNK)
+
+
+def _scale(value: Column, kind: T.DataType) -> Column:
+    """A number that never falls when the value grows; constant for types without such a one."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return value.cast("double")
+    return F.lit(0.0)
 
 
 def _heavy_codes(codes: DataFrame, chunk_rows: int) -> tuple[list[int], int]:
@@ -151,7 +188,7 @@ def _heavy_codes(codes: DataFrame, chunk_rows: int) -> tuple[list[int], int]:
 
 
 def _borders(df, keys, order, code, heavy, size) -> DataFrame:
-    """(_code, _borders): the sorted chunk borders of every heavy key."""
+    """(_no, _code, keys, _borders): the sorted chunk borders of every heavy key."""
     shared_folder(df.sparkSession)
     share = min(1.0, SAMPLES_PER_CHUNK / size)
     step = max(1, round(size * share))
@@ -160,8 +197,10 @@ def _borders(df, keys, order, code, heavy, size) -> DataFrame:
     sample = sample.join(F.broadcast(wanted), "_code", "left_semi")
     if share < 1.0:
         sample = sample.sample(share, seed=17)
-    number = F.row_number().over(Window.partitionBy("_code").orderBy(*keys, *order))
+    number = F.row_number().over(Window.partitionBy("_code", *keys).orderBy(*order))
     picked = sample.withColumn("_n", number).filter(F.col("_n") % step == 0)
     # Bounded: MAX_CHUNKS entries over all heavy keys together.
-    borders = F.array_sort(F.collect_list(F.struct(*keys, *order)))
-    return picked.groupBy("_code").agg(borders.alias("_borders")).checkpoint(eager=True)
+    borders = F.array_sort(F.collect_list(F.struct(*order))).alias("_borders")
+    found = picked.groupBy("_code", *keys).agg(borders)
+    numbered = found.withColumn("_no", F.row_number().over(Window.orderBy("_code", *keys)))
+    return numbered.checkpoint(eager=True)
