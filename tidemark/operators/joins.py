@@ -33,16 +33,16 @@ def interval_join(
     """
     lower, upper = before // MICROSECOND, after // MICROSECOND
     width = max(1, lower + upper)
-    here = left.withColumn("_lus", micros(left_time)).withColumn("_slot", _slot(F.col("_lus"), width))
+    here = left.withColumn("_lus", micros(left_time)).withColumn("_slot", time_slot(F.col("_lus"), width))
     reach = right.withColumn("_rus", micros(right_time)).withColumnRenamed(key, "_rkey")
-    slots = F.sequence(_slot(F.col("_rus") - upper, width), _slot(F.col("_rus") + lower, width))
+    slots = F.sequence(time_slot(F.col("_rus") - upper, width), time_slot(F.col("_rus") + lower, width))
     reach = reach.withColumn("_rslot", F.explode(slots))
     band = F.col("_rus").between(F.col("_lus") - lower, F.col("_lus") + upper)
     on = (F.col(key) == F.col("_rkey")) & (F.col("_slot") == F.col("_rslot")) & band
     return here.join(reach, on, how).drop("_lus", "_slot", "_rkey", "_rus", "_rslot")
 
 
-def _slot(us: Column, width: int) -> Column:
+def time_slot(us: Column, width: int) -> Column:
     # Whole-number floor: a double would lose microseconds.
     return ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("long")
 

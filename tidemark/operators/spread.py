@@ -30,8 +30,8 @@ from tidemark.session import shared_folder
 CHUNK = "_chunk"
 MAX_HEAVY = 5_000
 TRACKED_KEYS = 20_000
-MAX_CHUNKS = 10_000
-SAMPLES_PER_CHUNK = 100
+MAX_CHUNKS = 40_000
+SAMPLES_PER_CHUNK = 50
 CELLS_PER_CHUNK = 4
 DEFAULT_CHUNK_ROWS = 4_000_000
 

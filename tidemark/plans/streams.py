@@ -207,6 +207,21 @@ def stream_interval_join(spark, sf):
     return unzoned(drained(spark, found.drop("buyer")), "click_ts", "purchase_ts")
 
 
+@query("stream_lookup_enrich", ORACLES["lookup_enrich"])
+def stream_lookup_enrich(spark, sf):
+    """Events enriched from the customers, read again when half a minute old."""
+    customers = operators.RefreshingLookup(lambda: table(spark, sf, "customer"), 30)
+    path = scratch(spark, "enriched")
+    write = batch_files(path)
+
+    def handle(rows, batch_id):
+        probe = rows.select("event_id", "user_id")
+        write(customers.enrich(probe, "user_id", "c_custkey", ["c_name", "c_mktsegment"]), batch_id)
+
+    run_batches(event_stream(spark, sf), handle, scratch(spark, "checkpoint"))
+    return spark.read.parquet(path).filter("event_id <> -1").drop("batch")
+
+
 @query("stream_kv_latest", ORACLES["kv_latest"])
 def stream_kv_latest(spark, sf):
     """Each micro-batch reports the keys it changed; the last report of a key counts."""

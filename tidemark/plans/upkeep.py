@@ -24,7 +24,7 @@ SPEC = "concat('l_returnflag=', l_returnflag, '/l_linestatus=', l_linestatus)"
 def partitioned_folder(spark, sf):
     """Line items in one folder per flag and status."""
     path = scratch(spark, "lineitem")
-    table(spark, sf, "lineitem").write.partitionBy(*FLAGS).parquet(path)
+    table(spark, sf, "lineitem").hint("rebalance", *FLAGS).write.partitionBy(*FLAGS).parquet(path)
     return path
 
 
@@ -145,7 +145,7 @@ SELECT o_orderstatus, count(*) AS n, true AS readable FROM orders GROUP BY o_ord
 """)
 def file_audit(spark, sf):
     path = scratch(spark, "orc")
-    table(spark, sf, "orders").write.partitionBy("o_orderstatus").orc(path)
+    table(spark, sf, "orders").hint("rebalance", "o_orderstatus").write.partitionBy("o_orderstatus").orc(path)
     audit = inventory.file_audit(spark, path)
     status = F.regexp_extract("path", "o_orderstatus=([^/]*)", 1)
     return audit.groupBy(status.alias("o_orderstatus")).agg(

@@ -31,6 +31,9 @@ from tidemark.operators.running import running
 from tidemark.operators.sequences import BROKEN, TIMED_OUT, sequence_timeout
 
 
+KEPT_BATCHES = 10
+
+
 @dataclass(frozen=True)
 class Step:
     """What a micro-batch does: `work` over the carried and the final rows, then what of the
@@ -78,6 +81,13 @@ class Incremental:
         self.keep(spark.createDataFrame([(watermark,)], "us bigint"), "clock", batch_id)
         found.unpersist()
         rows.unpersist()
+        self.forget(spark, batch_id - KEPT_BATCHES)
+
+    def forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Remove what a batch long done left for its successor; results stay."""
+        for part in ("open", "carried", "clock"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.folder(part, batch_id))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def results(self, spark: SparkSession) -> DataFrame:
         """All results so far."""

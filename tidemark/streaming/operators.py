@@ -9,7 +9,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import lookup
+from tidemark.functions.scalars import MICROSECOND, micros
+from tidemark.operators.joins import lookup, time_slot
 from tidemark.operators.windows import interval_text
 
 
@@ -32,10 +33,18 @@ def stream_interval_join(
 ) -> DataFrame:
     """The interval join of two streams; both carry a watermark on their time.
 
-    The band lets Spark drop a row once no partner can come any more.
+    The band on the event times lets Spark drop a row once no partner can come any more. As in
+    batch, rows meet by key and time slot, so the state of a heavy key is spread over the slots.
     """
+    lower, upper = before // MICROSECOND, after // MICROSECOND
+    width = max(1, lower + upper)
+    here, there = micros(left_time), micros(right_time)
+    left = left.withColumn("_slot", time_slot(here, width))
+    slots = F.sequence(time_slot(there - upper, width), time_slot(there + lower, width))
+    right = right.withColumn("_rslot", F.explode(slots))
     band = F.col(right_time).between(F.col(left_time) - F.lit(before), F.col(left_time) + F.lit(after))
-    return left.join(right, (F.col(left_key) == F.col(right_key)) & band, how)
+    same = (F.col(left_key) == F.col(right_key)) & (F.col("_slot") == F.col("_rslot"))
+    return left.join(right, same & band, how).drop("_slot", "_rslot")
 
 
 def stream_latest_per_key(df: DataFrame, keys, sequence, values, is_delete: Column) -> DataFrame:

@@ -40,6 +40,12 @@ def run_to_files(
     return _start(stream, writer, interval)
 
 
+def run_to_console(stream: DataFrame, label: str, mode: str = "append", interval: str = "2 seconds"):
+    """Print each micro-batch; `label` names the query."""
+    writer = stream.writeStream.format("console").queryName(label).outputMode(mode)
+    return _start(stream, writer, interval)
+
+
 def run_batches(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append",
     interval: str | None = None,
