@@ -18,7 +18,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.spread import CHUNK, spread
+from tidemark.operators.spread import spread
 
 MATCHED, SUPERSEDED = "matched", "superseded"
 LEFT, RIGHT = "left", "right"

@@ -41,9 +41,7 @@ def claim(
     A record without a log entry waits. One job owns the queue; appending the returned rows
     to the log makes the claim.
     """
-    now = current_status(log, row_id, sequence, status)
-    last = log.groupBy(row_id).agg(F.max(sequence).alias("_last"))
-    state = now.join(last, row_id)
+    state = latest_per_key(log, [row_id], [sequence], [status, sequence]).withColumnRenamed(sequence, "_last")
     open_records = records.join(state, row_id, "left").withColumn(
         status, F.coalesce(F.col(status), F.lit(waiting))
     )

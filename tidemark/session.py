@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+MADE: list[str] = []
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -53,4 +54,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder name below the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    MADE.append(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every scratch folder this process made. Call it when their results are read."""
+    while MADE:
+        delete_folder(spark, MADE.pop())

@@ -29,6 +29,7 @@ from tidemark.operators.matching import one_to_one_match
 from tidemark.operators.periods import DROPPED, cap_outcome, period_positions
 from tidemark.operators.running import running
 from tidemark.operators.sequences import BROKEN, TIMED_OUT, sequence_timeout
+from tidemark.session import delete_folder
 
 
 KEPT_BATCHES = 10
@@ -86,8 +87,7 @@ class Incremental:
     def forget(self, spark: SparkSession, batch_id: int) -> None:
         """Remove what a batch long done left for its successor; results stay."""
         for part in ("open", "carried", "clock"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(self.folder(part, batch_id))
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete_folder(spark, self.folder(part, batch_id))
 
     def results(self, spark: SparkSession) -> DataFrame:
         """All results so far."""
