@@ -8,8 +8,8 @@ rare that a set has more empty ones, at the least cost in entries. Sets that do
 the one-deletion neighbourhood of every subset: there, a segment with one difference still meets.
 
 Sets that meet are candidates. Equal sets are one class from the start. First all members of a meeting are compared
-with one of them only; then, where the components of a meeting still differ, every pair across
-components. Pairs are first held to a lower bound of their difference (counts per hash class), then verified on
+with one of them only; then, where the components of a meeting still differ, with the nearest member of
+another component; then every pair that is left across components. Pairs are first held to a lower bound of their difference (counts per hash class), then verified on
 the whole sets. So a group of copies or near copies is never expanded into its pairs, and no link is lost. No partner
 list is capped.
 
@@ -37,11 +37,11 @@ from tidemark.llm.components import components
 
 #: Similarity in hundredths, words in a shingle, growth of the size bands.
 LEAST, WORDS, BAND = 80, 5, 1.25
-#: Hash classes whose counts bound the difference of two sets from below.
-COUNTS = 64
+#: Hash classes whose counts bound the difference of two sets from below: few for a first look, many for a sharp one.
+COARSE, FINE = 64, 512
 #: Entries that a task gathers before it hands them on, and hash buckets for each shuffle partition.
-HELD, BUCKETS = 2_000_000, 4
-_WORD_CACHE = 500_000
+HELD, BUCKETS = 1_000_000, 4
+_WORD_CACHE = 200_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -82,8 +82,13 @@ def set_name(s: np.ndarray) -> int:
     return int(np.array([xxhash.xxh3_64_intdigest(s.tobytes())], np.uint64).view(np.int64)[0])
 
 
-def class_counts(s: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount((s >> np.uint64(20)).astype(np.int64) % COUNTS, minlength=COUNTS), 65535).astype(np.uint16)
+def class_counts(s: np.ndarray, classes: int) -> bytes:
+    """Counts per class; cutting them at 255 only weakens the bound."""
+    return np.minimum(np.bincount((s >> np.uint64(20)).astype(np.int64) % classes, minlength=classes), 255).astype(np.uint8).tobytes()
+
+
+def _counts(column, classes: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, classes).astype(np.int16)
 
 
 def most_different(total: int | np.ndarray, least: int = LEAST):
@@ -148,19 +153,20 @@ def entries(s: np.ndarray, least: int = LEAST, bands: tuple[int, ...] | None = N
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """(_key, _text) -> (_key, n, node, counts): size, name and class counts of every document's set."""
-    schema = StructType([docs.schema["_key"]]).add("n", LongType()).add("node", LongType()).add("counts", BinaryType())
+    """(_key, _text) -> (_key, n, node, coarse, fine): size, name and class counts of every document's set."""
+    schema = StructType([docs.schema["_key"]]).add("n", LongType()).add("node", LongType()).add("coarse", BinaryType()).add("fine", BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, node, counts = [], [], []
+            n, node, coarse, fine = [], [], [], []
             for text in b.column(1):
                 s = shingles(text.as_py())
                 n.append(len(s))
                 node.append(set_name(s) if len(s) else None)
-                counts.append(class_counts(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(counts, pa.binary())],
-                                             names=schema.names)
+                coarse.append(class_counts(s, COARSE) if len(s) else None)
+                fine.append(class_counts(s, FINE) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
+                                              pa.array(coarse, pa.binary()), pa.array(fine, pa.binary())], names=schema.names)
 
     return docs.select("_key", "_text").mapInArrow(run, schema)
 
@@ -233,14 +239,13 @@ def _pairs_with_first(groups: DataFrame) -> DataFrame:
 
 def _near(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     """The pairs that sizes and class counts allow."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("counts").alias(f"c{x}"))
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("coarse").alias(f"c{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 na, nb = np.asarray(b.column(2)), np.asarray(b.column(4))
-                ca, cb = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, COUNTS).astype(np.int32) for i in (3, 5))
-                ok = np.abs(ca - cb).sum(1) <= most_different(na + nb, least)
+                ok = np.abs(_counts(b.column(3), COARSE) - _counts(b.column(5), COARSE)).sum(1) <= most_different(na + nb, least)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
     met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "ca", "nb", "cb")
@@ -282,8 +287,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, marks: DataFrame, least: int) -
     return met.mapInArrow(run, "a long, b long")
 
 
-def _pairs_across(groups: DataFrame, roots: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
-    """(a, b): near pairs of different components within a meeting."""
+def _pairs_across(groups: DataFrame, roots: DataFrame, nodes: DataFrame, least: int, nearest: bool) -> DataFrame:
+    """(a, b): near pairs of different components within a meeting; with `nearest` one for each member at most."""
     members = groups.withColumn("meeting", F.xxhash64("nodes")).select("meeting", "nodes")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,23 +300,27 @@ def _pairs_across(groups: DataFrame, roots: DataFrame, nodes: DataFrame, least:
     rows = members.mapInArrow(unpack, "meeting long, node long").join(roots, "node", "left")
     rows = staged(rows.select("meeting", "node", F.coalesce("root", "node").alias("root")), "set-join")
     split = rows.groupBy("meeting").agg((F.min("root") != F.max("root")).alias("split")).where("split").select("meeting")
-    left = rows.join(split, "meeting", "left_semi").join(nodes, "node").select("meeting", "node", "root", "n", "counts")
+    left = rows.join(split, "meeting", "left_semi").join(nodes, "node").select("meeting", "node", "root", "n", "coarse", "fine")
 
     def across(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(batches))
+        t = pa.Table.from_batches(list(batches)).sort_by("n")
         node, root, n = (np.asarray(t.column(c)) for c in ("node", "root", "n"))
-        counts = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint16).reshape(-1, COUNTS).astype(np.int32)
-        order = np.argsort(n, kind="stable")
-        node, root, n, counts = node[order], root[order], n[order], counts[order]
+        coarse, fine = _counts(t.column("coarse"), COARSE), _counts(t.column("fine"), FINE)
         upto = np.searchsorted(n, n * 100 // least, side="right")
+        ones, others = [], []
         for i in range(len(n)):
-            some = slice(i + 1, upto[i])
-            other = np.flatnonzero(root[some] != root[i])
-            if len(other):
-                other += i + 1
-                near = other[np.abs(counts[other] - counts[i]).sum(1) <= most_different(n[other] + n[i], least)]
-                if len(near):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[near], node[i])), pa.array(np.maximum(node[near], node[i]))], names=["a", "b"])
+            other = np.flatnonzero(root[i + 1 : upto[i]] != root[i]) + i + 1
+            for counts in (coarse, fine):  # the sharp look only at what the first one leaves
+                if len(other):
+                    apart = np.abs(counts[other] - counts[i]).sum(1)
+                    near = apart <= most_different(n[other] + n[i], least)
+                    other, apart = other[near], apart[near]
+            if len(other) and nearest:
+                other = other[[np.argmin(apart)]]
+            ones.append(np.full(len(other), node[i]))
+            others.append(node[other])
+        a, b = np.concatenate(ones), np.concatenate(others)
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     return left.groupBy("meeting").applyInArrow(across, "a long, b long").distinct()
 
@@ -320,15 +329,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     """One row per document: key, n_shingles, component_id (the smallest key that links reach)."""
     read = docs.select(F.col(f"`{key}`").alias("_key"), text_or_empty(f"`{text}`").alias("_text"))
     marks = staged(describe(read), "set-join")
-    nodes = staged(marks.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("counts").alias("counts")), "set-join")
+    nodes = staged(marks.where("node is not null").groupBy("node")
+                   .agg(*[F.first(c).alias(c) for c in ("n", "coarse", "fine")]), "set-join")
+    marks = marks.drop("coarse", "fine")
     groups = staged(meetings(read), "set-join")
-    first = staged(_near(_pairs_with_first(groups), nodes, least), "set-join")
-    links = staged(_verified(first, read, marks, least), "set-join")
+    seen = staged(_near(_pairs_with_first(groups), nodes, least), "set-join")
+    links = staged(_verified(seen, read, marks, least), "set-join")
     roots = components(links)
-    second = staged(_pairs_across(groups, roots, nodes, least).join(first, ["a", "b"], "left_anti"), "set-join")
-    if not second.isEmpty():
-        links = staged(links.unionAll(_verified(second, read, marks, least)), "set-join")
-        roots = components(links)
+    # The nearest of other components first: where there are links across, they leave few components to compare in full.
+    for nearest in (True, False):
+        more = staged(_pairs_across(groups, roots, nodes, least, nearest).join(seen, ["a", "b"], "left_anti"), "set-join")
+        if not more.isEmpty():
+            seen = seen.unionAll(more)
+            links = staged(links.unionAll(_verified(more, read, marks, least)), "set-join")
+            roots = components(links)
     rooted = marks.join(roots, "node", "left").select("_key", "n", F.coalesce("root", "node").alias("root"))
     least_keys = rooted.where("root is not null").groupBy("root").agg(F.min("_key").alias("least"))
     return (rooted.join(least_keys, "root", "left")
