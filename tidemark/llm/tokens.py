@@ -18,7 +18,7 @@ VOCABULARY = "byte_bpe_50k.json"
 #: the same ids (a test compares them); all others go to the tokenizer itself.
 _PLAIN = re.compile(r"[\n -~\u00c0-\u024f]+").fullmatch
 #: Only shorter pieces are kept, at most so many: bounds a worker's memory.
-KEPT_PIECE, KEPT_PIECES = 64, 800_000
+KEPT_PIECE, KEPT_PIECES = 64, 500_000
 #: A space that follows a blank may belong to the run of blanks before it, so it is no place to cut.
 _AFTER_BLANK = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
