@@ -41,6 +41,8 @@ LEAST, WORDS, BAND = 80, 5, 1.25
 COARSE, FINE = 64, 512
 #: Entries that a task gathers before it hands them on, and hash buckets for each shuffle partition.
 HELD, BUCKETS = 1_000_000, 4
+#: Members of meetings that are compared at once.
+MEMBERS = 50_000
 _WORD_CACHE = 200_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -303,26 +305,40 @@ def _pairs_across(groups: DataFrame, roots: DataFrame, nodes: DataFrame, least:
     left = rows.join(split, "meeting", "left_semi").join(nodes, "node").select("meeting", "node", "root", "n", "coarse", "fine")
 
     def across(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(batches)).sort_by("n")
-        node, root, n = (np.asarray(t.column(c)) for c in ("node", "root", "n"))
-        coarse, fine = _counts(t.column("coarse"), COARSE), _counts(t.column("fine"), FINE)
-        upto = np.searchsorted(n, n * 100 // least, side="right")
-        ones, others = [], []
-        for i in range(len(n)):
-            other = np.flatnonzero(root[i + 1 : upto[i]] != root[i]) + i + 1
-            for counts in (coarse, fine):  # the sharp look only at what the first one leaves
-                if len(other):
-                    apart = np.abs(counts[other] - counts[i]).sum(1)
-                    near = apart <= most_different(n[other] + n[i], least)
-                    other, apart = other[near], apart[near]
-            if len(other) and nearest:
-                other = other[[np.argmin(apart)]]
-            ones.append(np.full(len(other), node[i]))
-            others.append(node[other])
-        a, b = np.concatenate(ones), np.concatenate(others)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    return left.groupBy("meeting").applyInArrow(across, "a long, b long").distinct()
+        t = pa.Table.from_batches(list(batches)).sort_by([("meeting", "ascending"), ("n", "ascending")])
+        meeting, node, root, n = (np.asarray(t.column(c)) for c in ("meeting", "node", "root", "n"))
+        counts = _counts(t.column("coarse"), COARSE), _counts(t.column("fine"), FINE)
+        _, first = np.unique(meeting, return_index=True)
+        ends = np.repeat(np.append(first[1:], len(node)), np.diff(np.append(first, len(node))))
+        closest, partner = np.full(len(node), 1 << 60), np.zeros(len(node), np.int64)
+        pairs = [np.zeros((2, 0), np.int64)]
+        left, step = np.arange(len(node)), 0
+        # All members with the one `step` places on, in order of size within their meeting, at once.
+        while len(left):
+            step += 1
+            left = left[left + step < ends[left]]
+            left = left[n[left] * 100 >= least * n[left + step]]
+            for at in range(0, len(left), MEMBERS):
+                i = left[at : at + MEMBERS]
+                i = i[root[i] != root[i + step]]
+                for c in counts:  # the sharp look only at what the first one leaves
+                    apart = np.abs(c[i] - c[i + step]).sum(1)
+                    near = apart <= most_different(n[i] + n[i + step], least)
+                    i, apart = i[near], apart[near]
+                if nearest:
+                    closer = apart < closest[i]
+                    closest[i[closer]], partner[i[closer]] = apart[closer], node[i[closer] + step]
+                else:
+                    pairs.append(np.stack((node[i], node[i + step])))
+        if nearest:
+            found = np.flatnonzero(closest < 1 << 60)
+            pairs.append(np.stack((node[found], partner[found])))
+        a, b = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(a.copy()), pa.array(b.copy())], names=["a", "b"])
+
+    buckets = BUCKETS * int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = left.withColumn("bucket", F.pmod("meeting", F.lit(buckets)))
+    return dealt.groupBy("bucket").applyInArrow(across, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
