@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+from operator import and_
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import MERGE_THRESHOLD
 from tidemark.operators.groups import partition_counts
-from tidemark.operators.joins import count_reconcile
-from tidemark.session import scratch
-from tidemark.sources.inventory import file_inventory, partition_sizes, with_target_files
+from tidemark.session import is_scratch, scratch
+from tidemark.sources.inventory import file_inventory, file_path, partition_sizes, with_target_files
 from tidemark.sources.sinks import create_like, overwrite_partition
 from tidemark.sources.tables import (
     partition_columns,
     partition_scan,
-    show_partitions,
     spec_sql,
     table_exists,
     table_location,
@@ -24,6 +26,7 @@ from tidemark.sources.tables import (
 
 OK, COUNT_MISMATCH, EMPTY_SOURCE = "ok", "count_mismatch", "empty_source"
 MISSING_SOURCE, READ_ERROR = "missing_source", "read_error"
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name of a null
 READ_FAILURES = (PySparkException, Py4JJavaError)
 OUTCOME_SCHEMA = "outcome string, source_rows bigint, target_rows bigint"
 
@@ -87,6 +90,14 @@ def copy_partition(
     return verify_partition(spark, source, partition_scan(spark.table(target), spec), spec)
 
 
+def version_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for staged partitions beside the table's own, which may become the live one.
+
+    Readers of the table's folder pass over names that start with an underscore.
+    """
+    return f"{table_location(spark, name)}/_versions/{uuid.uuid4().hex}"
+
+
 def compact_partition(
     spark: SparkSession, name: str, spec: dict[str, object], threshold: int = MERGE_THRESHOLD
 ) -> tuple[str, str | None]:
@@ -98,48 +109,71 @@ def compact_partition(
     sizes = partition_sizes(file_inventory(spark, table_location(spark, name, spec)))
     # One row: the sizes of one partition.
     files = with_target_files(sizes, threshold).first()["target_files"]
-    staged = f"{scratch(spark, 'compacted')}/{spec_path(spec)}"
+    staged = f"{version_folder(spark, name)}/{spec_path(spec)}"
     partition_scan(spark.table(name), spec).repartition(files).write.parquet(staged)
     return publish_verified(spark, name, spec, staged)
 
 
-def compact_table(spark: SparkSession, name: str, threshold: int = MERGE_THRESHOLD) -> dict[str, str]:
-    """Compact all partitions that have more files than they should; {partition: outcome}.
+def scanned_sizes(rows: DataFrame, levels: list[str]) -> DataFrame:
+    """Per partition, by the values of its columns: rows, files, total_bytes, max_file_bytes, any_file.
+
+    Files and sizes come from the scan itself, so it doesn't matter where a partition lies or what it is called.
+    """
+    per_file = rows.groupBy(*levels, F.col("_metadata.file_path").alias("_file")).agg(
+        F.count("*").alias("_rows"), F.max("_metadata.file_size").alias("_bytes"))
+    return per_file.groupBy(*levels).agg(
+        F.sum("_rows").alias("rows"), F.count("*").alias("files"), F.sum("_bytes").alias("total_bytes"),
+        F.max("_bytes").alias("max_file_bytes"), F.min("_file").alias("any_file"))
 
-    One job rewrites them together. Each row draws one of its partition's file numbers from a
-    hash of all its columns, so a partition that holds most of the table is still written by
-    as many tasks as it gets files. One more job compares the counts, then the catalog is
-    pointed to the new folders where they agree.
+
+def compact_report(spark: SparkSession, name: str, threshold: int = MERGE_THRESHOLD) -> DataFrame:
+    """Compact all partitions that have more files than they should: one row for each, with its partition
+    columns, files_before, files_after, rows and outcome.
+
+    One job rewrites them together. Every file gets a number of its own and every row one of its partition's files by
+    its position in the old files: rows are dealt evenly whatever they hold, and no task writes two files. The
+    counts are compared, then the catalog is pointed to the new folders where they agree. Only the catalog calls for the
+    partitions that change come from the driver.
     """
     levels = partition_columns(spark, name)
-    specs = {r["partition"]: parse_spec(r["partition"]) for r in show_partitions(spark, name).toLocalIterator()}
-    folders = [table_location(spark, name, spec) for spec in specs.values()]
-    sizes = with_target_files(partition_sizes(file_inventory(spark, folders)), threshold)
-    crowded = sizes.filter("files > target_files").select(F.col("partition").alias("_spec"), "target_files")
-    # One row per catalog partition.
-    wanted = {r["_spec"]: r["target_files"] for r in crowded.toLocalIterator()}
-    if not wanted:
-        return {}
-    chosen = spark.createDataFrame(list(wanted.items()), "_spec string, _files bigint")
-    spec = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in levels])
-    rows = spark.table(name).withColumn("_spec", spec).join(F.broadcast(chosen), "_spec")
-    number = F.pmod(F.xxhash64(*spark.table(name).columns), F.col("_files"))
-    dealt = rows.withColumn("_no", number).repartition(sum(wanted.values()), "_spec", "_no")
-    staged = scratch(spark, "compacted")
-    dealt.drop("_spec", "_files", "_no").write.partitionBy(*levels).parquet(staged)
-
-    written = spark.read.schema(spark.table(name).schema).parquet(staged).withColumn("_spec", spec)
-    compared = count_reconcile(rows.select("_spec"), written.select("_spec"), "_spec")
-    outcomes = {}
-    for row in compared.toLocalIterator():
-        outcomes[row["_spec"]] = OK if row["status"] == "ok" else COUNT_MISMATCH
-        if row["status"] == "ok":
-            point_partition(spark, name, specs[row["_spec"]], f"{staged}/{row['_spec']}")
-    return outcomes
-
-
-def parse_spec(spec: str) -> dict[str, str]:
-    return dict(level.split("=", 1) for level in spec.split("/"))
+    same = lambda a, b: reduce(and_, [a[c].eqNullSafe(b[c]) for c in levels])
+    sizes = with_target_files(scanned_sizes(spark.table(name), levels), threshold).filter("files > target_files")
+    first = F.sum("target_files").over(Window.orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1))
+    plan = materialised(sizes.withColumn("_first", F.coalesce(first, F.lit(0))), "compaction-plan")
+    total = plan.agg(F.sum("target_files")).first()[0] or 0
+    result = [*levels, "files_before", "files_after", "rows", "outcome"]
+    if not total:
+        return plan.selectExpr(*[f"`{c}`" for c in levels], "files AS files_before", "files AS files_after", "rows", f"'{OK}' AS outcome").select(*result)
+    place = F.hash("_metadata.file_path").cast("long") + F.col("_metadata.row_index")
+    rows = spark.table(name).withColumn("_place", place)
+    wanted = plan.select(*levels, "_first", "target_files")
+    dealt = rows.join(wanted, same(rows, wanted)).select(
+        *[rows[c] for c in spark.table(name).columns], (F.col("_first") + F.pmod("_place", F.col("target_files"))).cast("int").alias("_no"))
+    staged = version_folder(spark, name)
+    dealt.repartitionById(int(total), "_no").drop("_no").write.partitionBy(*levels).parquet(staged)
+    written = scanned_sizes(spark.read.schema(spark.table(name).schema).parquet(staged), levels)
+    written = written.select(*levels, F.col("rows").alias("_new"), F.col("files").alias("_files"), F.col("any_file").alias("_any"))
+    met = plan.join(written, same(plan, written), "left")
+    outcome = F.when(F.col("_new") == F.col("rows"), OK).otherwise(COUNT_MISMATCH)
+    done = materialised(met.select(*[plan[c] for c in levels], F.col("files").alias("files_before"), F.col("_files").alias("files_after"),
+                                   "rows", outcome.alias("outcome"), file_path("_any").alias("_any")), "compaction")
+    for row in done.filter(F.col("outcome") == OK).toLocalIterator():
+        point_partition(spark, name, {c: row[c] for c in levels}, row["_any"].rsplit("/", 1)[0])
+    return done.select(*result)
+
+
+def compact_table(spark: SparkSession, name: str, threshold: int = MERGE_THRESHOLD) -> dict[str, str]:
+    """`compact_report` as {partition: outcome}; a null value is called as in a folder's name."""
+    levels = partition_columns(spark, name)
+    named = lambda v: DEFAULT_PARTITION if v is None else v
+    rows = compact_report(spark, name, threshold).toLocalIterator()
+    return {spec_path({c: named(r[c]) for c in levels}): r["outcome"] for r in rows}
+
+
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spec_path(spec: dict[str, object]) -> str:
@@ -149,9 +183,12 @@ def spec_path(spec: dict[str, object]) -> str:
 def publish_verified(spark: SparkSession, name: str, spec: dict[str, object], staged: str) -> tuple[str, str | None]:
     """Point a partition at a staged folder if the folder holds as many rows.
 
+    A scratch folder is refused: `release` would delete the live data. Stage below `version_folder`.
     Returns the outcome and, if published, the previous folder. That folder is left as it was;
     `point_partition` with it rolls the change back. Nothing is published on any other outcome.
     """
+    if is_scratch(staged, beside=table_location(spark, name)):
+        raise ValueError(f"{staged} is a scratch folder and can't become a partition")
     old = table_location(spark, name, spec)
     try:
         target = spark.read.parquet(staged)
@@ -166,6 +203,7 @@ def publish_verified(spark: SparkSession, name: str, spec: dict[str, object], st
 
 
 def point_partition(spark: SparkSession, name: str, spec: dict[str, object], location: str) -> None:
-    spark.sql(f"ALTER TABLE {name} PARTITION ({spec_sql(spec)}) SET LOCATION '{location}'")
+    place = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {name} PARTITION ({spec_sql(spec)}) SET LOCATION '{place}'")
     spark.catalog.refreshTable(name)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import upkeep
@@ -58,10 +59,9 @@ def file_inventory(spark, sf):
     """Rows per partition, counted per file and joined to the listed files."""
     path = partitioned_folder(spark, sf)
     files = inventory.file_inventory(spark, path)
-    plain = lambda column: F.regexp_replace(column, "^file:/+", "/").alias("path")
-    per_file = partition_counts(spark.read.parquet(path), [plain("_metadata.file_path")])
-    listed = files.select("partition", plain("path"))
-    return listed.join(per_file, "path").groupBy("partition").agg(F.sum("n").alias("n"))
+    per_file = partition_counts(spark.read.parquet(path), [inventory.file_path("_metadata.file_path").alias("path")])
+    listed = files.select("partition", F.regexp_replace("path", "^file:/+", "/").alias("path"))
+    return listed.join(per_file, "path", "full").groupBy("partition").agg(F.sum("n").alias("n"))
 
 
 @query("max_file_bytes", f"SELECT DISTINCT {SPEC} AS partition, true AS agrees FROM lineitem")
@@ -77,11 +77,18 @@ def max_file_bytes(spark, sf):
     return listed.join(scanned, "partition").select("partition", agrees.alias("agrees"))
 
 
-@query("create_like", "SELECT * FROM lineitem WHERE false")
+@query("create_like", """
+SELECT column_name, column_name IN ('l_returnflag', 'l_linestatus') AS is_partition, 0 AS n
+FROM information_schema.columns WHERE table_name = 'lineitem'
+""")
 def create_like(spark, sf):
+    """The columns and partition columns of the new table, and its rows."""
     name = partitioned_table(spark, sf)
     sinks.create_like(spark, name, f"{name}_empty", scratch(spark, "like"))
-    return spark.table(f"{name}_empty")
+    made = spark.table(f"{name}_empty")
+    parts, rows = tables.partition_columns(spark, f"{name}_empty"), made.count()
+    columns = [(c, c in parts, rows) for c in made.columns]
+    return spark.createDataFrame(columns, "column_name string, is_partition boolean, n int")
 
 
 @query("overwrite_partition", """
@@ -119,11 +126,25 @@ def partition_copy(spark, sf):
     return spark.table(copy).select("l_orderkey", "l_linenumber", "l_quantity", *FLAGS)
 
 
-@query("compact_partition", CONTENT + " FROM lineitem GROUP BY ALL")
+@query("compact_partition", """
+SELECT l_returnflag, status, 4 AS files_before, 1 AS files_after, count(*) AS rows, 'ok' AS outcome,
+  sum(CAST(l_quantity AS BIGINT))::BIGINT AS quantity
+FROM (SELECT l_returnflag, l_quantity, CASE WHEN l_linestatus = 'F' THEN 'F:x %' END AS status FROM lineitem)
+GROUP BY 1, 2
+""")
 def compact_partition(spark, sf):
-    name = partitioned_table(spark, sf)
-    upkeep.compact_table(spark, name)
-    return content(spark.table(name))
+    """Four files in each partition, one afterwards; values that folders escape, a null, and the content once more."""
+    name = f"lineitem_{uuid.uuid4().hex}"
+    status = F.when(F.col("l_linestatus") == "F", "F:x %")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag", status.alias("status"))
+    levels = ["l_returnflag", "status"]
+    numbered = rows.withColumn("_no", F.row_number().over(Window.partitionBy(*levels).orderBy("l_orderkey")) % 4)
+    numbered.repartitionById(4, F.col("_no").cast("int")).drop("_no").write.format("parquet").partitionBy(*levels).option("path", scratch(spark, name)).saveAsTable(name)
+    report = upkeep.compact_report(spark, name)
+    after = spark.table(name).groupBy(*levels).agg(F.count("*").alias("rows"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+    met = report.join(after, (report["l_returnflag"] == after["l_returnflag"]) & report["status"].eqNullSafe(after["status"]))
+    return met.select(report["l_returnflag"], report["status"], F.col("files_before").cast("int").alias("files_before"),
+                      F.col("files_after").cast("int").alias("files_after"), after["rows"], "outcome", "quantity")
 
 
 @query("publish_verified", CONTENT + ", 'ok,count_mismatch' AS outcomes FROM lineitem GROUP BY ALL")
@@ -133,7 +154,7 @@ def publish_verified(spark, sf):
     outcomes = []
     for flag, least in (("A", 0), ("R", 2)):
         spec = {"l_returnflag": flag, "l_linestatus": "F"}
-        staged = scratch(spark, "staged")
+        staged = upkeep.version_folder(spark, name)
         rows = tables.partition_scan(spark.table(name), spec)
         rows.filter(F.col("l_quantity") >= least).write.parquet(staged)
         outcomes.append(upkeep.publish_verified(spark, name, spec, staged)[0])
@@ -141,18 +162,36 @@ def publish_verified(spark, sf):
 
 
 @query("file_audit", """
-SELECT o_orderstatus, count(*) AS n, true AS readable FROM orders GROUP BY o_orderstatus
+SELECT o_orderpriority, count(*) AS n, true AS readable FROM orders GROUP BY o_orderpriority
+UNION ALL SELECT 'damaged', NULL, false
 """)
 def file_audit(spark, sf):
+    """Folders with a blank and a percent sign in their names are read whole; a file damaged in its middle is found."""
     path = scratch(spark, "orc")
-    table(spark, sf, "orders").hint("rebalance", "o_orderstatus").write.partitionBy("o_orderstatus").orc(path)
+    orders = table(spark, sf, "orders")
+    orders.hint("rebalance", "o_orderpriority").write.partitionBy("o_orderpriority").orc(path)
+    spoilt(spark, orders.coalesce(1), f"{path}/o_orderpriority=damaged/part-0.orc")
     audit = inventory.file_audit(spark, path)
-    status = F.regexp_extract("path", "o_orderstatus=([^/]*)", 1)
-    return audit.groupBy(status.alias("o_orderstatus")).agg(
+    priority = F.url_decode(F.regexp_extract("path", "o_orderpriority=([^/]*)", 1))
+    return audit.groupBy(priority.alias("o_orderpriority")).agg(
         F.sum("rows").alias("n"), F.min("readable").alias("readable")
     )
 
 
+def spoilt(spark, rows, target):
+    """Writes rows as one ORC file with a stretch of its middle overwritten. For tests: one small file."""
+    whole = scratch(spark, "whole")
+    rows.write.orc(whole)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    data = bytearray(spark.read.format("binaryFile").option("pathGlobFilter", "*.orc").load(whole).first()["content"])
+    at = len(data) // 3
+    data[at : at + len(data) // 3] = bytes(255 - x for x in data[at : at + len(data) // 3])
+    place = hadoop.Path(target)
+    out = place.getFileSystem(conf).create(place)
+    out.write(data)
+    out.close()
+
+
 @query("xml_queue_usage", """
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS time,
   sum(CASE WHEN o_orderstatus = 'O' THEN CAST(floor(o_totalprice) AS BIGINT) END)::BIGINT AS pending_memory,

@@ -45,6 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError(f"executors need a shared folder: set {CHECKPOINT_SETTING}")
         named = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(named)
     elif spark.sparkContext.getCheckpointDir() is None:
@@ -59,6 +61,13 @@ def scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
+def is_scratch(path: str, beside: str | None = None) -> bool:
+    """Whether `release` would delete `path`, unless it would delete `beside` with it."""
+    plain = lambda p: "/" + p.removeprefix("file:").strip("/") + "/"
+    made = [plain(m) for m in MADE]
+    return any(plain(path).startswith(m) and not (beside and plain(beside).startswith(m)) for m in made)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

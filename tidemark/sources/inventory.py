@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import importlib
+import re
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.paths import MERGE_THRESHOLD, target_files
@@ -42,51 +47,95 @@ def rewrite_decision(sizes: DataFrame, threshold: int = MERGE_THRESHOLD) -> Data
     return sizes.withColumn("decision", F.when(large, "copy").otherwise("rewrite"))
 
 
-def file_audit(spark: SparkSession, path: str, file_format: str = "orc") -> DataFrame:
-    """(path, rows, readable) for each file of a folder with the format's extension.
+def file_path(path: str | Column) -> Column:
+    """A path as listings have it, from a scan's percent-encoded `_metadata.file_path` URI."""
+    column = F.col(path) if isinstance(path, str) else path
+    decoded = F.url_decode(F.regexp_replace(column, "[+]", "%2B"))
+    return F.regexp_replace(decoded, "^file:/+", "/")
 
-    One job counts the rows of all files and skips what it cannot read. A listed file without
-    counted rows is either empty or damaged; only those few are then read again on their own.
-    """
-    files = file_inventory(spark, path).filter(F.col("path").endswith(f".{file_format}"))
-    listed = files.select(_plain("path").alias("path"), "length")
-    schema = _schema_of_any(spark, path, file_format, files)
-    reader = spark.read.format(file_format).options(
-        ignoreCorruptFiles="true", recursiveFileLookup="true", pathGlobFilter=f"*.{file_format}"
-    )
-    rows = reader.schema(schema).load(path) if schema else None
-    counted = listed.select("path", F.lit(None).cast("long").alias("rows")).limit(0)
-    if rows is not None:
-        counted = rows.groupBy(_plain("_metadata.file_path").alias("path")).agg(F.count("*").alias("rows"))
-    found = listed.join(counted, "path", "left")
-    doubtful = found.filter(F.col("rows").isNull()).select("path")
-    # Damaged and empty files are rare; each is one small read.
-    bad = [r["path"] for r in doubtful.toLocalIterator() if not _readable(spark, r["path"], file_format)]
-    damaged = spark.createDataFrame([(p,) for p in bad], "path string").withColumn("_bad", F.lit(True))
-    result = found.join(damaged, "path", "left")
-    readable = F.col("_bad").isNull()
-    total = F.when(readable, F.coalesce("rows", F.lit(0)))
-    return result.select("path", total.alias("rows"), readable.alias("readable"))
-
-
-def _plain(path):
-    return F.regexp_replace(path, "^file:/+", "/")
-
-
-def _schema_of_any(spark, path, file_format, files):
-    for row in files.select("path").toLocalIterator():
+
+class _Source:
+    """A file for a format's reader; keeps the error of the storage itself apart from those of the reader."""
+
+    def __init__(self, raw):
+        self.raw, self.failure, self.closed = raw, None, False
+
+    def _call(self, name, *args):
         try:
-            return spark.read.format(file_format).load(row["path"]).schema
-        except Exception:
-            continue
-    return None
+            return getattr(self.raw, name)(*args)
+        except OSError as failure:
+            self.failure = failure
+            raise
+
+    def read(self, *size):
+        return self._call("read", *size)
+
+    def seek(self, *place):
+        return self._call("seek", *place)
+
+    def tell(self):
+        return self.raw.tell()
+
+    def size(self):
+        return self.raw.size()
 
+    def readable(self):
+        return True
 
-def _readable(spark: SparkSession, path: str, file_format: str) -> bool:
-    try:
-        spark.read.format(file_format).option("ignoreCorruptFiles", "false").load(path).write.format(
-            "noop"
-        ).mode("overwrite").save()
+    def seekable(self):
         return True
-    except Exception:
+
+    def writable(self):
         return False
+
+    def flush(self):
+        pass
+
+    def close(self):
+        self.closed = True
+        self.raw.close()
+
+
+def _rows_of(source: _Source, file_format: str) -> int:
+    """Rows of a file, all columns of which are read, a stripe or batch at a time."""
+    if file_format == "orc":
+        orc = importlib.import_module("pyarrow.orc").ORCFile(source)
+        found, said = sum(orc.read_stripe(i).num_rows for i in range(orc.nstripes)), orc.nrows
+    else:
+        parquet = importlib.import_module("pyarrow.parquet").ParquetFile(source)
+        found, said = sum(b.num_rows for b in parquet.iter_batches()), parquet.metadata.num_rows
+    if found != said:
+        raise ValueError(f"{found} rows read, {said} announced")
+    return found
+
+
+def file_audit(spark: SparkSession, path: str, file_format: str = "orc") -> DataFrame:
+    """(path, rows, readable, error) for each file of a folder with the format's extension, orc or parquet.
+
+    Files are dealt out to tasks, which read every column of theirs. A file whose content can't be read, or holds other
+    rows than its footer says, is damaged: it has no rows and an error. An empty file of the format has 0 rows.
+    A storage that fails is no damage: that error ends the job.
+    """
+    listed = file_inventory(spark, path).filter(F.col("path").endswith(f".{file_format}")).select("path", "length")
+    dealt = listed.repartition(spark.sparkContext.defaultParallelism * 4, "path")
+
+    def audit(batches):
+        for b in batches:
+            rows, errors = [], []
+            for name in b.column(0).to_pylist():
+                system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "/", name))
+                with system.open_input_file(place) as raw:
+                    source, count, error = _Source(raw), None, None
+                    try:
+                        count = _rows_of(source, file_format)
+                    except Exception as damage:
+                        if source.failure:
+                            raise source.failure from damage
+                        error = f"{type(damage).__name__}: {damage}"[:500]
+                rows.append(count)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.int64()), pa.array(errors, pa.string())],
+                                             names=["path", "rows", "error"])
+
+    found = dealt.select("path").mapInArrow(audit, "path string, rows long, error string")
+    return found.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "rows", F.col("error").isNull().alias("readable"), "error")

@@ -77,6 +77,8 @@ def spec_sql(spec: dict[str, object]) -> str:
     """`{a: 1, b: x}` as the text of a static PARTITION clause."""
 
     def literal(value: object) -> str:
+        if value is None:
+            return "NULL"
         if isinstance(value, (int, float)):
             return str(value)
         return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
