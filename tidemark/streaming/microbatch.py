@@ -31,8 +31,8 @@ from tidemark.operators.running import running
 from tidemark.operators.sequences import BROKEN, TIMED_OUT, sequence_timeout
 from tidemark.session import delete_folder
 
-
-KEPT_BATCHES = 10
+#: Carry-overs kept for going back, as many batches as Spark keeps in a checkpoint (`spark.sql.streaming.minBatchesToRetain`).
+KEPT_BATCHES = 100
 
 
 @dataclass(frozen=True)
