@@ -23,7 +23,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.session import shared_folder
 
@@ -32,7 +31,7 @@ MAX_HEAVY = 5_000
 TRACKED_KEYS = 20_000
 MAX_CHUNKS = 40_000
 SAMPLES_PER_CHUNK = 50
-CELLS_PER_CHUNK = 4
+FANOUT = 8
 DEFAULT_CHUNK_ROWS = 4_000_000
 
 
@@ -100,7 +99,6 @@ class Spread:
         return F.coalesce(expr, F.col(carried)) if self.split else expr
 
 
-
 def spread(df: DataFrame, keys, order, chunk_rows: int | None = None) -> Spread:
     """Lay out `df` for ordered work per key; see the module text.
 
@@ -117,59 +115,39 @@ def spread(df: DataFrame, keys, order, chunk_rows: int | None = None) -> Spread:
 
 
 def _with_chunks(df: DataFrame, borders: DataFrame, keys, order, code: Column) -> DataFrame:
-    """Look up each row's chunk by two broadcast hash joins.
+    """Look up each row's chunk by descending a tree over the borders of its key.
 
-    The span of a key's first ordering column is cut into a grid with a few cells per chunk.
-    A row finds its cell by arithmetic and then compares itself with the chunks that
-    touch this cell only, usually one or two.
+    Each level is one broadcast hash join in which a row compares itself with the `FANOUT` spans
+    below its node, so the cost depends on the number of chunks only, and neither on the type
+    nor on the distribution of the ordering columns.
     """
-    kind, edges = df.schema[order[0]].dataType, F.col("_borders")
-    at = _scale(F.col(order[0]), kind)
-    ends = F.transform(edges, lambda b: _scale(b[order[0]], kind))
-    low, high, size = F.array_min(ends), F.array_max(ends), F.size(edges)
-    grid = borders.select(
-        "_no", F.col("_code").alias("_grid_code"), *[F.col(k).alias(f"_grid_{k}") for k in keys],
-        F.coalesce(low, F.lit(0)).alias("_low"), (size * CELLS_PER_CHUNK + 1).alias("_last"),
-        F.greatest(F.lit(1.0), (high - low) / (size * CELLS_PER_CHUNK)).alias("_width"), "_borders",
-    )
-
-    def cell(value: Column) -> Column:
-        # Grows with the value, so a row between two borders lies between their cells. Nulls
-        # sort first, hence the first cell.
-        place = F.floor((value - F.col("_low")) / F.col("_width")) + 1
-        bounded = F.greatest(F.lit(0), F.least(F.col("_last"), place))
-        return F.when(value.isNull(), 0).otherwise(bounded).cast("int")
-
-    open_end = F.lit(None).cast(borders.schema["_borders"].dataType.elementType)
-    begins = F.posexplode(F.concat(F.array(open_end), edges)).alias(CHUNK, "_from")
-    cuts = grid.select("_no", "_low", "_width", "_last", begins, edges)
-    cuts = cuts.withColumn("_upto", F.get("_borders", F.col(CHUNK)))
-    begin = F.when(F.col("_from").isNull(), 0).otherwise(cell(_scale(F.col("_from")[order[0]], kind)))
-    end = F.when(F.col("_upto").isNull(), F.col("_last")).otherwise(cell(_scale(F.col("_upto")[order[0]], kind)))
-    cells = cuts.select(
-        F.col("_no").alias("_cell_no"), CHUNK, "_from", "_upto", F.explode(F.sequence(begin, end)).alias("_cell")
-    )
-
-    same = [F.col(k).eqNullSafe(F.col(f"_grid_{k}")) for k in keys]
-    on_key = reduce(lambda a, b: a & b, same, F.col("_code") == F.col("_grid_code"))
-    rows = df.withColumn("_code", code).join(F.broadcast(grid.drop("_borders")), on_key, "left")
-    rows = rows.withColumn("_own_cell", F.when(F.col("_no").isNotNull(), cell(at)))
+    numbers = borders.select("_no", F.col("_code").alias("_own_code"), *[F.col(k).alias(f"_own_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_own_{k}")) for k in keys]
+    on_key = reduce(lambda a, b: a & b, same, F.col("_code") == F.col("_own_code"))
+    rows = df.withColumn("_code", code).join(F.broadcast(numbers), on_key, "left")
+    rows = rows.select(*df.columns, "_no", F.when(F.col("_no").isNotNull(), 0).alias(CHUNK))
     place = F.struct(*order)
-    inside = (
-        (F.col("_no") == F.col("_cell_no")) & (F.col("_own_cell") == F.col("_cell"))
-        & (F.col("_from").isNull() | (place >= F.col("_from")))
-        & (F.col("_upto").isNull() | (place < F.col("_upto")))
-    )
-    return rows.join(F.broadcast(cells), inside, "left").select(*df.columns, CHUNK)
-
-
-def _scale(value: Column, kind: T.DataType) -> Column:
-    """A number that never falls when the value grows; constant for types without such a one."""
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(value.cast("timestamp")).cast("double")
-    if isinstance(kind, (T.IntegralType, T.DecimalType)):
-        return value.cast("double")
-    return F.lit(0.0)
+    most = borders.agg(F.max(F.size("_borders"))).first()[0] or 0
+    width = 1
+    while width * FANOUT <= most:
+        width *= FANOUT
+    while width:
+        spans = borders.select(
+            F.col("_no").alias("_span_no"), "_borders",
+            F.explode(F.sequence(F.lit(0), F.floor(F.size("_borders") / width).cast("int"))).alias("_span"),
+        ).select(
+            "_span_no", "_span", F.floor(F.col("_span") / FANOUT).cast("int").alias("_above"),
+            F.get("_borders", F.col("_span") * width - 1).alias("_from"),
+            F.get("_borders", (F.col("_span") + 1) * width - 1).alias("_upto"),
+        )
+        inside = (
+            (F.col("_no") == F.col("_span_no")) & (F.col(CHUNK) == F.col("_above"))
+            & (F.col("_from").isNull() | (place >= F.col("_from")))
+            & (F.col("_upto").isNull() | (place < F.col("_upto")))
+        )
+        rows = rows.join(F.broadcast(spans), inside, "left").select(*df.columns, "_no", F.col("_span").alias(CHUNK))
+        width //= FANOUT
+    return rows.drop("_no")
 
 
 def _heavy_codes(codes: DataFrame, chunk_rows: int) -> tuple[list[int], int]:
