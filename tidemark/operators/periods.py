@@ -38,7 +38,7 @@ def period_positions(
     period's first time in epoch microseconds.
 
     A row that comes exactly `length` after the period's first row starts a new period when
-    `inclusive`, and still belongs to the old one otherwise.
+    `inclusive`, and still belongs to the old one otherwise. Rows without a time belong to no period: both are null.
     """
     keys = list(keys)
     least = length // timedelta(microseconds=1) + (0 if inclusive else 1)
@@ -52,7 +52,15 @@ def period_positions(
     added = [T.StructField(name, T.LongType()) for name in ("period_pos", "period_start")]
     schema = T.StructType([*ordered.schema.fields, *added])
     walked = ordered.mapInArrow(_walker(least), schema)
-    return walked.drop(CHUNK, "_us", "_open", "_open_rows", "_first")
+    return _with_untimed(walked.drop(CHUNK, "_us", "_open", "_open_rows", "_first"), df, time)
+
+
+def _with_untimed(placed: DataFrame, df: DataFrame, time: str) -> DataFrame:
+    """`placed`, and the rows of `df` without a time, for which the added columns are null."""
+    if not df.schema[time].nullable:
+        return placed
+    added = {f.name: F.lit(None).cast(f.dataType) for f in placed.schema if f.name not in df.columns}
+    return placed.unionByName(df.filter(F.col(time).isNull()).withColumns(added))
 
 
 def _walker(least: int):
@@ -104,7 +112,7 @@ def _seeds(laid: Spread, rows: DataFrame, least: int, chunk_rows: int | None) ->
     exits = heavy.groupBy("_k", CHUNK).applyInArrow(_exits(least), schema).checkpoint(eager=True)
 
     opening = chunks.groupBy("_k").agg(F.min(CHUNK).alias(CHUNK), F.min("_lo").alias("_in"))
-    reached = exits.join(F.broadcast(opening), ["_k", CHUNK, "_in"], "left_semi")
+    reached = exits.join(laid.small(opening), ["_k", CHUNK, "_in"], "left_semi")
     reached = reached.select("_k", F.col("_out").alias("_src"))
     hops = _hops(exits, least, chunk_rows).checkpoint(eager=True)
     longest = chunks.groupBy("_k").count().agg(F.max("count")).first()[0]
@@ -167,7 +175,7 @@ def _open_periods(laid, heavy, chunks, exits, reached) -> DataFrame:
     place = exits.groupBy("_k", F.col("_out").alias("_src")).agg(F.min(CHUNK).alias(CHUNK))
     last = reached.join(place, ["_k", "_src"]).select("_k", CHUNK, F.col("_src").alias("_last"))
     # At most one row per chunk from here on.
-    inside = heavy.join(F.broadcast(last), ["_k", CHUNK])
+    inside = heavy.join(laid.small(last), ["_k", CHUNK])
     last = inside.filter(F.col("_us") >= F.col("_last")).groupBy("_k", CHUNK, "_last").agg(
         F.count("*").alias("_tail")
     )
@@ -191,7 +199,7 @@ def throttle(
 ) -> DataFrame:
     """The first row of a key and each row at least `interval` after the last one kept.
 
-    With `inclusive=False` a row exactly `interval` later is not kept.
+    With `inclusive=False` a row exactly `interval` later is not kept. A row without a time is after none and not kept.
     """
     rows = period_positions(df, keys, time, row_id, interval, inclusive, chunk_rows)
     return rows.filter(F.col("period_pos") == 1).drop("period_pos", "period_start")
@@ -214,11 +222,12 @@ def click_cap(
     once and blocks the key, later rows are dropped.
 
     Counting starts anew `ttl` after the first row of a counting period; None means never.
-    Rows are taken in event-time order.
+    Rows are taken in event-time order. A row without a time counts for nothing, its outcome is null.
     """
     if ttl is None:
-        rows = running(df, keys, [time, row_id], None, chunk_rows)
-        rows = rows.withColumnRenamed("running_count", "period_pos")
+        rows = running(df.filter(F.col(time).isNotNull()), keys, [time, row_id], None, chunk_rows)
+        rows = _with_untimed(rows.withColumnRenamed("running_count", "period_pos").drop(CHUNK), df, time)
     else:
         rows = period_positions(df, keys, time, row_id, ttl, True, chunk_rows)
-    return rows.withColumn("outcome", cap_outcome(F.col("period_pos"), cap)).drop("period_pos", "period_start")
+    place = F.col("period_pos")
+    return rows.withColumn("outcome", F.when(place.isNotNull(), cap_outcome(place, cap))).drop("period_pos", "period_start")

@@ -5,19 +5,20 @@ Running counts, `lead`/`lag` lookups and matching all need the rows of a key in
 holds a large share of the table that task never ends. `spread` finds such keys and cuts
 their rows into ordered chunks of roughly equal size; everything else keeps the plain window.
 
-* Heavy keys come from one `approx_top_k` sketch over the hashed key: no shuffle of keys.
+* Heavy keys are those counted above the chunk size, counts combined before their shuffle. A key is cut
+  because of its own rows only, however large the table is.
 * Chunk borders are quantiles of a sample of the heavy rows only, taken over the full
   ordering tuple, so one timestamp shared by many rows can be cut as well. The sample picks
   the borders and nothing else; every row is kept.
 * The borders are checkpointed. From then on a row's chunk is a pure function of the row,
   so recomputing lost tasks cannot move rows between chunks.
-* What a chunk must know about its neighbours is one summary row per chunk. There are at most
-  `MAX_CHUNKS` plus one per heavy key of them, which bounds each broadcast.
+* What a chunk must know about its neighbours is one summary row per chunk. These tables are counted: up to
+  `BROADCAST_ROWS` rows they are broadcast, beyond that they are joined by a shuffle whose
+  skewed keys adaptive execution splits.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,9 +28,7 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_folder
 
 CHUNK = "_chunk"
-MAX_HEAVY = 5_000
-TRACKED_KEYS = 20_000
-MAX_CHUNKS = 40_000
+BROADCAST_ROWS = 1_000_000
 SAMPLES_PER_CHUNK = 50
 FANOUT = 8
 DEFAULT_CHUNK_ROWS = 4_000_000
@@ -43,6 +42,11 @@ class Spread:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     split: bool
+    chunks: int = 0
+
+    def small(self, table: DataFrame) -> DataFrame:
+        """A table of at most one row per chunk, to be broadcast if there are few chunks."""
+        return _small(table, self.chunks)
 
     @property
     def local(self):
@@ -68,7 +72,7 @@ class Spread:
         )
         same = [rows[k].eqNullSafe(side[f"_at_{k}"]) for k in self.keys]
         same.append(rows[CHUNK] == side[f"_at_{CHUNK}"])
-        joined = rows.join(F.broadcast(side), reduce(lambda a, b: a & b, same), "left")
+        joined = rows.join(self.small(side), reduce(lambda a, b: a & b, same), "left")
         return joined.drop(*[f"_at_{n}" for n in names])
 
     def carry(self, rows: DataFrame, **parts: tuple[Column, str]) -> DataFrame:
@@ -107,78 +111,68 @@ def spread(df: DataFrame, keys, order, chunk_rows: int | None = None) -> Spread:
     keys, order = tuple(keys), tuple(order)
     wanted = chunk_rows or DEFAULT_CHUNK_ROWS
     code = F.xxhash64(*keys) if keys else F.lit(0).cast("long")
-    heavy, size = _heavy_codes(df.select(code.alias("_code")), wanted)
-    if not heavy:
+    heavy = df.groupBy(code.alias("_code")).agg(F.count("*").alias("_n")).filter(F.col("_n") > wanted)
+    seen = heavy.agg(F.count("*").alias("keys"), F.sum("_n").alias("rows")).first()
+    if not seen["keys"]:
         return Spread(df.withColumn(CHUNK, F.lit(None).cast("int")), keys, order, False)
-    borders = _borders(df, keys, order, code, heavy, size)
-    return Spread(_with_chunks(df, borders, keys, order, code), keys, order, True)
+    borders = _borders(df, keys, order, code, _small(heavy.select("_code"), seen["keys"]), wanted)
+    found = borders.agg(F.count("*").alias("n"), F.max("_at").alias("most")).first()
+    chunks = 2 * found["n"]  # a key has one chunk more than borders
+    return Spread(_with_chunks(df, borders, keys, order, code, chunks, found["most"] or 0), keys, order, True, chunks)
+
 
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
 
-def _with_chunks(df: DataFrame, borders: DataFrame, keys, order, code: Column) -> DataFrame:
+
+def _with_chunks(df: DataFrame, borders: DataFrame, keys, order, code: Column, chunks: int, most: int) -> DataFrame:
     """Look up each row's chunk by descending a tree over the borders of its key.
 
-    Each level is one broadcast hash join in which a row compares itself with the `FANOUT` spans
+    Each level is one hash join in which a row compares itself with the `FANOUT` spans
     below its node, so the cost depends on the number of chunks only, and neither on the type
     nor on the distribution of the ordering columns.
     """
-    numbers = borders.select("_no", F.col("_code").alias("_own_code"), *[F.col(k).alias(f"_own_{k}") for k in keys])
+    own = [F.col(k).alias(f"_own_{k}") for k in keys]
+    numbers = borders.filter("_at = 1").select("_no", F.col("_code").alias("_own_code"), *own)
     same = [F.col(k).eqNullSafe(F.col(f"_own_{k}")) for k in keys]
     on_key = reduce(lambda a, b: a & b, same, F.col("_code") == F.col("_own_code"))
-    rows = df.withColumn("_code", code).join(F.broadcast(numbers), on_key, "left")
+    rows = df.withColumn("_code", code).join(_small(numbers, chunks), on_key, "left")
     rows = rows.select(*df.columns, "_no", F.when(F.col("_no").isNotNull(), 0).alias(CHUNK))
     place = F.struct(*order)
-    most = borders.agg(F.max(F.size("_borders"))).first()[0] or 0
+    none = F.lit(None).cast(borders.schema["_place"].dataType).alias("_place")
+    starts = borders.select("_no", "_at", "_place").unionByName(numbers.select("_no", F.lit(0).alias("_at"), none))
     width = 1
     while width * FANOUT <= most:
         width *= FANOUT
     while width:
-        spans = borders.select(
-            F.col("_no").alias("_span_no"), "_borders",
-            F.explode(F.sequence(F.lit(0), F.floor(F.size("_borders") / width).cast("int"))).alias("_span"),
-        ).select(
-            "_span_no", "_span", F.floor(F.col("_span") / FANOUT).cast("int").alias("_above"),
-            F.get("_borders", F.col("_span") * width - 1).alias("_from"),
-            F.get("_borders", (F.col("_span") + 1) * width - 1).alias("_upto"),
+        upto = F.lead("_place").over(Window.partitionBy("_no").orderBy("_at"))
+        spans = starts.filter(F.col("_at") % width == 0).select(
+            F.col("_no").alias("_span_no"), F.expr(f"int(_at div {width})").alias("_span"),
+            F.expr(f"int(_at div {width * FANOUT})").alias("_above"), F.col("_place").alias("_from"), upto.alias("_upto"),
         )
         inside = (
             (F.col("_no") == F.col("_span_no")) & (F.col(CHUNK) == F.col("_above"))
             & (F.col("_from").isNull() | (place >= F.col("_from")))
             & (F.col("_upto").isNull() | (place < F.col("_upto")))
         )
-        rows = rows.join(F.broadcast(spans), inside, "left").select(*df.columns, "_no", F.col("_span").alias(CHUNK))
+        rows = rows.join(_small(spans, chunks), inside, "left").select(*df.columns, "_no", F.col("_span").alias(CHUNK))
         width //= FANOUT
     return rows.drop("_no")
 
 
-def _heavy_codes(codes: DataFrame, chunk_rows: int) -> tuple[list[int], int]:
-    """Hashed keys too large for one task, and the chunk size to cut them into.
-
-    At most `MAX_HEAVY` keys can pass the share test, and the sketch tracks enough items to
-    see each of them. A key it overestimates is cut needlessly, which costs a little time only.
-    """
-    top = F.expr(f"approx_top_k(_code, {MAX_HEAVY}, {TRACKED_KEYS})")
-    seen = codes.agg(top.alias("top"), F.count("*").alias("rows")).first()
-    if seen is None or seen["rows"] <= chunk_rows:
-        return [], chunk_rows
-    least = max(chunk_rows, seen["rows"] // MAX_HEAVY)
-    heavy = {r["item"]: r["count"] for r in seen["top"] if r["count"] > least}
-    return list(heavy), max(chunk_rows, math.ceil(sum(heavy.values()) / MAX_CHUNKS))
-
-
-def _borders(df, keys, order, code, heavy, size) -> DataFrame:
-    """(_no, _code, keys, _borders): the sorted chunk borders of every heavy key."""
+def _borders(df, keys, order, code, heavy: DataFrame, size: int) -> DataFrame:
+    """(_no, _code, keys, _at, _place): the chunk borders of every heavy key, numbered from 1."""
     shared_folder(df.sparkSession)
     share = min(1.0, SAMPLES_PER_CHUNK / size)
     step = max(1, round(size * share))
-    wanted = df.sparkSession.createDataFrame([(c,) for c in heavy], "_code long")
-    sample = df.select(*keys, *order, code.alias("_code"))
-    sample = sample.join(F.broadcast(wanted), "_code", "left_semi")
+    sample = df.select(*keys, *order, code.alias("_code")).join(heavy, "_code", "left_semi")
     if share < 1.0:
         sample = sample.sample(share, seed=17)
     number = F.row_number().over(Window.partitionBy("_code", *keys).orderBy(*order))
     picked = sample.withColumn("_n", number).filter(F.col("_n") % step == 0)
-    # Bounded: MAX_CHUNKS entries over all heavy keys together.
-    borders = F.array_sort(F.collect_list(F.struct(*order))).alias("_borders")
-    found = picked.groupBy("_code", *keys).agg(borders)
-    numbered = found.withColumn("_no", F.row_number().over(Window.orderBy("_code", *keys)))
-    return numbered.checkpoint(eager=True)
+    # One row per chunk is all that this window sees.
+    key_number = F.dense_rank().over(Window.orderBy("_code", *keys))
+    borders = picked.select(
+        key_number.alias("_no"), "_code", *keys, (F.col("_n") / step).cast("int").alias("_at"), F.struct(*order).alias("_place")
+    )
+    return borders.checkpoint(eager=True)

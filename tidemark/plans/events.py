@@ -19,7 +19,7 @@ from tidemark.operators.running import (
 )
 from tidemark.operators.sequences import sequence_timeout
 from tidemark.operators.windows import sliding_count
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLES, query
 from tidemark.session import scratch
 from tidemark.sources.sinks import write_outputs
 from tidemark.sources.tables import table
@@ -317,6 +317,33 @@ def click_blacklist_ttl(spark, sf):
     return click_cap(clicks, ["user_id"], "ts", "event_id", 2, FIVE_DAYS)
 
 
+@query("click_blacklist_ttl_cut", ORACLES["click_blacklist_ttl"])
+def click_blacklist_ttl_cut(spark, sf):
+    """The same with every key of more than five clicks cut into chunks."""
+    clicks = events(spark, sf, "click").select("user_id", "event_id", "ts")
+    return click_cap(clicks, ["user_id"], "ts", "event_id", 2, FIVE_DAYS, chunk_rows=5)
+
+
+@query("running_count_cut", """
+SELECT event_type, ts, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS running_count FROM events""")
+def running_count_cut(spark, sf):
+    """Few large keys, cut into chunks of a thousand rows."""
+    rows = events(spark, sf).select("event_type", "ts", "event_id")
+    return running(rows, ["event_type"], ["ts", "event_id"], None, 1_000).select(*rows.columns, "running_count")
+
+
+@query("click_blacklist_untimed", """
+SELECT user_id, event_id, ts, CASE WHEN ts IS NULL THEN NULL WHEN rn <= 10 THEN 'passed' WHEN rn = 11 THEN 'flagged'
+  ELSE 'dropped' END AS outcome
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts NULLS LAST, event_id) AS rn
+      FROM (SELECT user_id, event_id, CASE WHEN value >= 20 THEN ts END AS ts FROM events WHERE event_type = 'click'))""")
+def click_blacklist_untimed(spark, sf):
+    """Clicks of little value have lost their time: they count for nothing and stay with a null outcome."""
+    timed = F.when(F.col("value") >= 20, F.col("ts")).alias("ts")
+    clicks = events(spark, sf, "click").select("user_id", "event_id", timed)
+    return click_cap(clicks, ["user_id"], "ts", "event_id", 10)
+
+
 @query("throttle", PERIODS_CTE.format(kind="error", length="6 HOUR") + """
 SELECT f.user_id, f.event_id, f.ts FROM p JOIN f ON f.user_id = p.user_id AND f.ts = p.ts""")
 def throttled_errors(spark, sf):
