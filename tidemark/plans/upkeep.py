@@ -3,8 +3,10 @@ them back."""
 
 from __future__ import annotations
 
+import re
 import uuid
 
+from pyarrow import fs, orc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from tidemark.sources.tables import table
 FLAGS = ["l_returnflag", "l_linestatus"]
 A_F = {"l_returnflag": "A", "l_linestatus": "F"}
 CONTENT = "SELECT l_returnflag, l_linestatus, count(*) AS n, sum(CAST(l_quantity AS BIGINT))::BIGINT AS quantity"
+#: Rows of a written file at most; the bytes of a file inverted.
+FILE_ROWS, INVERTED = 1_000_000, bytes(255 - x for x in range(256))
 SPEC = "concat('l_returnflag=', l_returnflag, '/l_linestatus=', l_linestatus)"
 
 
@@ -170,7 +174,7 @@ def file_audit(spark, sf):
     path = scratch(spark, "orc")
     orders = table(spark, sf, "orders")
     orders.hint("rebalance", "o_orderpriority").write.partitionBy("o_orderpriority").orc(path)
-    spoilt(spark, orders.coalesce(1), f"{path}/o_orderpriority=damaged/part-0.orc")
+    spoilt(spark, orders, f"{path}/o_orderpriority=damaged")
     audit = inventory.file_audit(spark, path)
     priority = F.url_decode(F.regexp_extract("path", "o_orderpriority=([^/]*)", 1))
     return audit.groupBy(priority.alias("o_orderpriority")).agg(
@@ -178,18 +182,45 @@ def file_audit(spark, sf):
     )
 
 
-def spoilt(spark, rows, target):
-    """Writes rows as one ORC file with a stretch of its middle overwritten. For tests: one small file."""
+def spoilt(spark, rows, folder):
+    """Writes rows as ORC files of bounded length, each with a stretch of its middle overwritten.
+
+    Tasks write the rows and tasks copy the files, a block at a time: the driver plans the files and holds nothing of the rows.
+    ORC has no checksums, so the rows are compressed in small chunks: a stretch holds the head of a chunk at least.
+    """
     whole = scratch(spark, "whole")
-    rows.write.orc(whole)
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    data = bytearray(spark.read.format("binaryFile").option("pathGlobFilter", "*.orc").load(whole).first()["content"])
-    at = len(data) // 3
-    data[at : at + len(data) // 3] = bytes(255 - x for x in data[at : at + len(data) // 3])
-    place = hadoop.Path(target)
-    out = place.getFileSystem(conf).create(place)
-    out.write(data)
-    out.close()
+    chunks = {"maxRecordsPerFile": FILE_ROWS, "orc.compress.size": 1024, "orc.create.index": "false"}
+    rows.write.options(**chunks).orc(whole)
+    files = inventory.file_inventory(spark, whole).filter(F.col("path").endswith(".orc")).select("path")
+    dealt = files.repartition(spark.sparkContext.defaultParallelism * 4, "path")
+
+    def spoil(batches):
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                spoil_file(name, folder)
+            yield b
+
+    dealt.mapInArrow(spoil, dealt.schema).write.format("noop").mode("overwrite").save()
+
+
+def spoil_file(name, folder, block=1 << 20):
+    """Copies an ORC file into a folder, the middle third of its stripes inverted. A file without rows has none and is left out."""
+    system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "/", name))
+    with system.open_input_file(place) as source:
+        whole = orc.ORCFile(source)
+        if not whole.nrows:
+            return
+        content = whole.content_length
+    target = f"{fs.FileSystem.from_uri(re.sub('^file:/+', '/', folder))[1]}/{place.rsplit('/', 1)[1]}"
+    system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+    first, last, at = content // 3, content // 3 * 2, 0
+    with system.open_input_stream(place) as source, system.open_output_stream(target) as out:
+        while data := source.read(block):
+            low, high = max(first - at, 0), max(min(last - at, len(data)), 0)
+            if low < high:
+                data = data[:low] + data[low:high].translate(INVERTED) + data[high:]
+            out.write(data)
+            at += len(data)
 
 
 @query("xml_queue_usage", """

@@ -96,10 +96,59 @@ class _Source:
         self.raw.close()
 
 
+def _chunks(source: _Source, at: int, length: int):
+    """The contents of the zstd chunks that fill a range of an ORC file, one at a time."""
+    end = at + length
+    while at < end:
+        source.seek(at)
+        head = int.from_bytes(source.read(3), "little")
+        at += 3 + (head >> 1)
+        if at > end:
+            raise ValueError(f"a chunk of {head >> 1} bytes passes the end of its stripe")
+        data = source.read(head >> 1)
+        yield data if head & 1 else pa.CompressedInputStream(pa.BufferReader(data), "zstd").read()
+
+
+def _fields(message: bytes):
+    """(number, value) of the fields of a protobuf message."""
+    at = 0
+
+    def varint():
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at, value, shift = at + 1, value | (byte & 127) << shift, shift + 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        number, kind = divmod(varint(), 8)
+        if kind == 0:
+            yield number, varint()
+        else:
+            size = {1: 8, 5: 4}.get(kind) or varint()
+            yield number, message[at : at + size]
+            at += size
+
+
+def _check_chunks(source: _Source, orc) -> None:
+    """Reads every chunk of the stripes: the ORC reader goes on after a zstd chunk that can't be decompressed."""
+    size = source.size()
+    footer = b"".join(_chunks(source, size - 1 - orc.file_postscript_length - orc.file_footer_length, orc.file_footer_length))
+    for number, stripe in _fields(footer):
+        if number == 3:
+            place = dict(_fields(stripe))
+            for _ in _chunks(source, place[1], sum(place.get(i, 0) for i in (2, 3, 4))):
+                pass
+
+
 def _rows_of(source: _Source, file_format: str) -> int:
     """Rows of a file, all columns of which are read, a stripe or batch at a time."""
     if file_format == "orc":
         orc = importlib.import_module("pyarrow.orc").ORCFile(source)
+        if orc.compression == "ZSTD":
+            _check_chunks(source, orc)
         found, said = sum(orc.read_stripe(i).num_rows for i in range(orc.nstripes)), orc.nrows
     else:
         parquet = importlib.import_module("pyarrow.parquet").ParquetFile(source)
@@ -113,7 +162,8 @@ def file_audit(spark: SparkSession, path: str, file_format: str = "orc") -> Data
     """(path, rows, readable, error) for each file of a folder with the format's extension, orc or parquet.
 
     Files are dealt out to tasks, which read every column of theirs. A file whose content can't be read, or holds other
-    rows than its footer says, is damaged: it has no rows and an error. An empty file of the format has 0 rows.
+    rows than its footer says, is damaged: it has no rows and an error. ORC has no checksums: a change inside a chunk that
+    still decompresses can't be told. An empty file of the format has 0 rows.
     A storage that fails is no damage: that error ends the job.
     """
     listed = file_inventory(spark, path).filter(F.col("path").endswith(f".{file_format}")).select("path", "length")
