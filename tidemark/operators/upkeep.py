@@ -128,8 +128,8 @@ def scanned_sizes(rows: DataFrame, levels: list[str]) -> DataFrame:
 
 
 def compact_report(spark: SparkSession, name: str, threshold: int = MERGE_THRESHOLD) -> DataFrame:
-    """Compact all partitions that have more files than they should: one row for each, with its partition
-    columns, files_before, files_after, rows and outcome.
+    """Compact all partitions that have more files than they should. One row for each partition, also those that
+    need no rewrite: its partition columns, files_before, target_files, files_after, rows and outcome.
 
     One job rewrites them together. Every file gets a number of its own and every row one of its partition's files by
     its position in the old files: rows are dealt evenly whatever they hold, and no task writes two files. The
@@ -138,13 +138,15 @@ def compact_report(spark: SparkSession, name: str, threshold: int = MERGE_THRESH
     """
     levels = partition_columns(spark, name)
     same = lambda a, b: reduce(and_, [a[c].eqNullSafe(b[c]) for c in levels])
-    sizes = with_target_files(scanned_sizes(spark.table(name), levels), threshold).filter("files > target_files")
+    sizes = materialised(with_target_files(scanned_sizes(spark.table(name), levels), threshold), "compaction-sizes")
     first = F.sum("target_files").over(Window.orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1))
-    plan = materialised(sizes.withColumn("_first", F.coalesce(first, F.lit(0))), "compaction-plan")
+    plan = materialised(sizes.filter("files > target_files").withColumn("_first", F.coalesce(first, F.lit(0))), "compaction-plan")
     total = plan.agg(F.sum("target_files")).first()[0] or 0
-    result = [*levels, "files_before", "files_after", "rows", "outcome"]
+    result = [*levels, "files_before", "target_files", "files_after", "rows", "outcome"]
+    left = sizes.filter("files <= target_files").select(
+        *levels, F.col("files").alias("files_before"), "target_files", F.col("files").alias("files_after"), "rows", F.lit(OK).alias("outcome"))
     if not total:
-        return plan.selectExpr(*[f"`{c}`" for c in levels], "files AS files_before", "files AS files_after", "rows", f"'{OK}' AS outcome").select(*result)
+        return left
     place = F.hash("_metadata.file_path").cast("long") + F.col("_metadata.row_index")
     rows = spark.table(name).withColumn("_place", place)
     wanted = plan.select(*levels, "_first", "target_files")
@@ -156,18 +158,18 @@ def compact_report(spark: SparkSession, name: str, threshold: int = MERGE_THRESH
     written = written.select(*levels, F.col("rows").alias("_new"), F.col("files").alias("_files"), F.col("any_file").alias("_any"))
     met = plan.join(written, same(plan, written), "left")
     outcome = F.when(F.col("_new") == F.col("rows"), OK).otherwise(COUNT_MISMATCH)
-    done = materialised(met.select(*[plan[c] for c in levels], F.col("files").alias("files_before"), F.col("_files").alias("files_after"),
+    done = materialised(met.select(*[plan[c] for c in levels], F.col("files").alias("files_before"), "target_files", F.col("_files").alias("files_after"),
                                    "rows", outcome.alias("outcome"), file_path("_any").alias("_any")), "compaction")
     for row in done.filter(F.col("outcome") == OK).toLocalIterator():
         point_partition(spark, name, {c: row[c] for c in levels}, row["_any"].rsplit("/", 1)[0])
-    return done.select(*result)
+    return done.select(*result).unionByName(left)
 
 
 def compact_table(spark: SparkSession, name: str, threshold: int = MERGE_THRESHOLD) -> dict[str, str]:
-    """`compact_report` as {partition: outcome}; a null value is called as in a folder's name."""
+    """`compact_report` of the partitions to rewrite as {partition: outcome}; a null value is called as in a folder's name."""
     levels = partition_columns(spark, name)
     named = lambda v: DEFAULT_PARTITION if v is None else v
-    rows = compact_report(spark, name, threshold).toLocalIterator()
+    rows = compact_report(spark, name, threshold).filter("files_before > target_files").toLocalIterator()
     return {spec_path({c: named(r[c]) for c in levels}): r["outcome"] for r in rows}
 
 

@@ -10,6 +10,7 @@ from pyarrow import fs, orc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.paths import MERGE_THRESHOLD
 from tidemark.operators import upkeep
 from tidemark.operators.groups import partition_counts
 from tidemark.plans.registry import query
@@ -136,19 +137,32 @@ SELECT l_returnflag, status, 4 AS files_before, 1 AS files_after, count(*) AS ro
 FROM (SELECT l_returnflag, l_quantity, CASE WHEN l_linestatus = 'F' THEN 'F:x %' END AS status FROM lineitem)
 GROUP BY 1, 2
 """)
-def compact_partition(spark, sf):
-    """Four files in each partition, one afterwards; values that folders escape, a null, and the content once more."""
+def compact_partition(spark, sf, file_rows=FILE_ROWS, threshold=MERGE_THRESHOLD):
+    """Four files in each partition for one that it may keep; values that folders escape, a null, and the content once more.
+
+    The number of files grows with the rows, none of which needs an order: they are dealt by a hash of their key. Both
+    numbers of files are given as multiples, so that they don't depend on the size: `files_before` of a quarter of the
+    files dealt, `files_after`, rounded up, of the files that the bytes ask for. Small partitions have 4 and 1 themselves.
+    """
     name = f"lineitem_{uuid.uuid4().hex}"
     status = F.when(F.col("l_linestatus") == "F", "F:x %")
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag", status.alias("status"))
-    levels = ["l_returnflag", "status"]
-    numbered = rows.withColumn("_no", F.row_number().over(Window.partitionBy(*levels).orderBy("l_orderkey")) % 4)
-    numbered.repartitionById(4, F.col("_no").cast("int")).drop("_no").write.format("parquet").partitionBy(*levels).option("path", scratch(spark, name)).saveAsTable(name)
-    report = upkeep.compact_report(spark, name)
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", status.alias("status"))
+    levels, columns = ["l_returnflag", "status"], ["l_orderkey", "l_quantity", "l_returnflag", "status"]
+    same = lambda a, b: (a["l_returnflag"] == b["l_returnflag"]) & a["status"].eqNullSafe(b["status"])
+    units = F.ceil(F.count("*") / F.lit(4 * file_rows))
+    # One row per partition, also in the window.
+    first = F.sum("units").over(Window.orderBy(*levels).rowsBetween(Window.unboundedPreceding, -1)) * 4
+    plan = upkeep.materialised(rows.groupBy(*levels).agg(units.alias("units")).withColumn("first", F.coalesce(first, F.lit(0))), "deal")
+    total = 4 * (plan.agg(F.sum("units")).first()[0] or 0)
+    number = F.col("first") + F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.col("units") * 4)
+    dealt = rows.join(F.broadcast(plan), same(rows, plan)).select(*[rows[c] for c in columns], number.cast("int").alias("_no"))
+    dealt.repartitionById(max(total, 1), "_no").drop("_no").write.format("parquet").partitionBy(*levels).option("path", scratch(spark, name)).saveAsTable(name)
+    report = upkeep.compact_report(spark, name, threshold)
     after = spark.table(name).groupBy(*levels).agg(F.count("*").alias("rows"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
-    met = report.join(after, (report["l_returnflag"] == after["l_returnflag"]) & report["status"].eqNullSafe(after["status"]))
-    return met.select(report["l_returnflag"], report["status"], F.col("files_before").cast("int").alias("files_before"),
-                      F.col("files_after").cast("int").alias("files_after"), after["rows"], "outcome", "quantity")
+    met = report.join(after, same(report, after)).join(plan, same(report, plan))
+    before = F.when(report["files_before"] % plan["units"] == 0, report["files_before"] / plan["units"])
+    return met.select(report["l_returnflag"], report["status"], before.cast("int").alias("files_before"),
+                      F.ceil(report["files_after"] / report["target_files"]).cast("int").alias("files_after"), after["rows"], "outcome", "quantity")
 
 
 @query("publish_verified", CONTENT + ", 'ok,count_mismatch' AS outcomes FROM lineitem GROUP BY ALL")
