@@ -1,14 +1,15 @@
-"""Repeated passages by a depth-limited radix sort of suffixes.
+"""Repeated passages by anchored windows, grouped by hashes of ever longer pieces. It stands for a depth-limited radix sort of
+suffixes, but orders no suffixes.
 
 Of every text the windows of `width` bytes are to be found that start at more than one place. Each window picks an anchor,
 the position of the least hash of GRAM bytes inside it. The choice depends on the window's bytes alone, so equal
 windows pick the same place, and consecutive windows mostly share theirs: a run of windows with one anchor is
-one node. The nodes are sorted by digits from the most significant one on, each digit a longer piece of text that all
+one node. The nodes are grouped in passes by their digit, in each pass a longer piece of text around the anchor that all
 windows of a node have in common (its core):
 
 * a core that occurs once drops out: none of its windows is repeated;
 * nodes whose whole extents are equal are repeated windows, all of them; one of the nodes stays as a witness;
-* what is left, the nodes at the ends of repeated passages, is split into smaller blocks of windows and sorted by the next,
+* what is left, the nodes at the ends of repeated passages, is split into smaller blocks of windows and grouped by the next,
   longer digit. In the last pass a node is one window and its digit is the whole window: equal groups are exactly
   the repeated windows.
 
