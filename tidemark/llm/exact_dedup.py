@@ -1,9 +1,8 @@
-"""Exact deduplication of normalised texts by counting quotient filters and byte verification.
+"""Exact deduplication of normalised texts by counted fingerprints and byte verification.
 
-Each partition builds a counting quotient filter of its texts' fingerprints: the high bits of a fingerprint name
-the slot (quotient), the low bits are the remainder stored there with a count. As a filter is a sorted list of
-(quotient, remainder, count), filters merge without loss by merging their sorted remainders, one range of
-quotients at a time. Only fingerprints counted more than once are looked at again: their texts are compared byte by
+Each partition sorts and counts the 64-bit fingerprints of its texts. These lists stand for counting quotient filters: they
+merge without loss, one range of high bits at a time, but hold whole fingerprints and counts, no quotients and
+remainders. Only fingerprints counted more than once are looked at again: their texts are compared byte by
 byte, by grouping on the text itself. Copies are combined before every shuffle, so a group of any size is one row
 for each task that saw it.
 
@@ -23,9 +22,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import BLANKS, staged, text_or_empty
 
-#: A fingerprint has 64 bits; the quotient's highest bits say which range of the filter it belongs to.
+#: A fingerprint has 64 bits; its highest bits say which range it belongs to.
 RANGE_BITS = 10
-#: Fingerprints that a partition gathers before it writes a filter.
+#: Fingerprints that a partition gathers before it writes a list.
 FILTER_SIZE = 2_000_000
 
 
@@ -35,7 +34,7 @@ def normalised(text: str | Column) -> Column:
 
 
 def build_filter(fingerprints: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted fingerprints (quotient, then remainder) and their counts. Merges filters when given counts."""
+    """Sorted distinct fingerprints and their counts. Merges such lists when given counts."""
     order = np.argsort(fingerprints, kind="stable")
     keys = fingerprints[order]
     counts = np.ones(len(keys), np.int64) if counts is None else counts[order]
