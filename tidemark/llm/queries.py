@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, quality, repeats, set_join, sharding, token_counts, toxicity, warc
+from tidemark.llm import (
+    exact_dedup, lexical, mixing, packing, quality, repeats, set_join, sharding, token_counts, toxicity, url_filter, warc, whitening,
+)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,13 +66,57 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+RULES = [url_filter.Rule("allow", "com"), url_filter.Rule("block", "example.com", "/en/"), url_filter.Rule("allow", "www.example.com", "/en/"),
+         url_filter.Rule("block", "net", "/es/"), url_filter.Rule("block", "net", "/fr/")]
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), 10)
+
+
 OP10_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
      g AS (SELECT *, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
 """
 
+#: The standard pages hold no redirects and no canonical links, so a rule or the default decides here.
+OP12_SQL = r"""
+WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+     r(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+     f AS (SELECT page_id, host, path, (SELECT max_by(struct_pack(rule := h || p, verdict := verdict), length(h || p)) FROM r
+                                        WHERE ends_with('.' || host, '.' || h) AND starts_with(path, p)) AS won
+           FROM (SELECT page_id, host, path FROM p))
+SELECT page_id, host, path, won.rule AS rule, coalesce(won.verdict, 'allow') AS verdict FROM f
+"""
+
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+     p AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+     l AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM p GROUP BY ALL),
+     s AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM l),
+     w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY ALL), s),
+     i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+     r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+           FROM i JOIN w USING (term) JOIN p USING (term) JOIN l USING (doc_id), s GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM r WHERE score > 0
+QUALIFY rank <= 10
+"""
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_token_counts, op3_sharding, op4_ngram_jaccard, op5_warc, op6_mixing, op7_toxicity, op8_suffix_repeats, op9_quality_rules, op10_exact_dedup,
+    op11_embedding_whitening, op12_url_filters, op13_lexical_search,
 )}
-ORACLES: dict[str, str] = {"op10_exact_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op10_exact_dedup": OP10_SQL, "op12_url_filters": OP12_SQL, "op13_lexical_search": OP13_SQL}
