@@ -5,7 +5,10 @@ into more segments than that, so some segment has the same subset in both (pigeo
 size; every set indexes its segments' subsets for its own band and for the smaller bands that may hold a partner.
 Empty subsets are shared by chance and are not indexed: `Plan` allots some segments more, as many as make it
 rare that a set has more empty ones, at the least cost in entries. Sets that do have more also index
-the one-deletion neighbourhood of every subset: there, a segment with one difference still meets.
+the one-deletion neighbourhood of every subset: there, a segment with one difference still meets. A pair can still miss only
+if each segment that is not empty in both differs in two elements, or in one that is alone there; both sets then have at least
+two empty segments more than the plan's, and at most half as many segments with two elements or more as elements may
+differ. Such sets, which hashing makes very rare, index their empty segments too, so no pair is lost.
 
 Sets that meet are candidates. Equal sets are one class from the start. First all members of a meeting are compared
 with one of them only; then, where the components of a meeting still differ, with the nearest member of
@@ -14,7 +17,8 @@ the whole sets. So a group of copies or near copies is never expanded into its p
 list is capped.
 
 A text with fewer words than n is one shingle; a text without words, or a null, has an empty set and links with nothing.
-Null keys are kept; a component's id is its smallest key, or null if it has no other. Repeated rows are equal sets. An
+Null keys are kept; a component's id is its smallest key, or null if it has no other. Keys may be repeated, or be structs:
+texts are found again by 128 bits of hash and never by key. Repeated rows are equal sets. An
 empty table gives an empty result. Columns other than key and text are not read.
 """
 
@@ -149,28 +153,28 @@ def entries(s: np.ndarray, least: int = LEAST, bands: tuple[int, ...] | None = N
             without = subset[segment] - mixed(s ^ _M1)
             lonely = n[segment] == 1
             found.append(mixed(without[~lonely] ^ tag[segment[~lonely]]))
-            if 2 * empty > m:
+            if empty > spare + 1 and 2 * int((n > 1).sum()) <= m - 1 - spare:
                 found.append(mixed(tag[~some]))
     return np.concatenate(found)
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """(_key, _text) -> (_key, n, node, coarse, fine): size, name and class counts of every document's set."""
-    schema = StructType([docs.schema["_key"]]).add("n", LongType()).add("node", LongType()).add("coarse", BinaryType()).add("fine", BinaryType())
+    """(_key, _h1, _h2, _text) -> (_key, _h1, _h2, n, node, coarse, fine): size, name and class counts of every document's set."""
+    schema = StructType([docs.schema["_key"]]).add("_h1", LongType()).add("_h2", LongType()).add("n", LongType()).add("node", LongType()).add("coarse", BinaryType()).add("fine", BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, node, coarse, fine = [], [], [], []
-            for text in b.column(1):
+            for text in b.column(3):
                 s = shingles(text.as_py())
                 n.append(len(s))
                 node.append(set_name(s) if len(s) else None)
                 coarse.append(class_counts(s, COARSE) if len(s) else None)
                 fine.append(class_counts(s, FINE) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
                                               pa.array(coarse, pa.binary()), pa.array(fine, pa.binary())], names=schema.names)
 
-    return docs.select("_key", "_text").mapInArrow(run, schema)
+    return docs.select("_key", "_h1", "_h2", "_text").mapInArrow(run, schema)
 
 
 def meetings(docs: DataFrame) -> DataFrame:
@@ -257,30 +261,27 @@ def _near(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, marks: DataFrame, least: int) -> DataFrame:
     """The pairs that reach the threshold, by their whole sets."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    keys = marks.where("node is not null").groupBy("node").agg(F.min("_key").alias("_rep"))
-    found = keys.join(wanted, "node").select("node", "_rep")
-    texts = staged(docs.join(found, docs["_key"].eqNullSafe(found["_rep"])).select("node", "_text"), "set-join")
+    # One text stands for each set, found by its hashes: keys may be null or repeated. Copies are combined before the shuffle.
+    one = marks.where("node is not null").groupBy("node").agg(F.min(F.struct("_h1", "_h2")).alias("one"))
+    found = one.join(wanted, "node").select("node", "one._h1", "one._h2")
+    first = docs.join(found.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi").groupBy("_h1", "_h2").agg(F.first("_text").alias("_text"))
+    texts = staged(first.join(found, ["_h1", "_h2"]).select("node", "_text"), "set-join")
     side = lambda x: texts.select(F.col("node").alias(x), F.col("_text").alias(f"t{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
 
-        def of(node: int, text) -> np.ndarray | None:
+        def of(node: int, text) -> np.ndarray:
             if node not in kept:
                 if len(kept) > 64:
                     kept.clear()
-                s = shingles(text.as_py())
-                kept[node] = s if set_name(s) == node else None  # rows that share a key may have other texts
+                kept[node] = shingles(text.as_py())
             return kept[node]
 
         for b in batches:
             ok = []
             for a, c, ta, tc in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
                 x, y = of(a, ta), of(c, tc)
-                if x is None or y is None:
-                    kept.pop(a, None), kept.pop(c, None)
-                    ok.append(False)
-                    continue
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * shared >= least * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -343,7 +344,9 @@ def _pairs_across(groups: DataFrame, roots: DataFrame, nodes: DataFrame, least:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """One row per document: key, n_shingles, component_id (the smallest key that links reach)."""
-    read = docs.select(F.col(f"`{key}`").alias("_key"), text_or_empty(f"`{text}`").alias("_text"))
+    body = text_or_empty(f"`{text}`")
+    read = docs.select(F.col(f"`{key}`").alias("_key"), F.xxhash64(body).alias("_h1"), F.xxhash64(F.lit("second"), body).alias("_h2"),
+                       body.alias("_text"))
     marks = staged(describe(read), "set-join")
     nodes = staged(marks.where("node is not null").groupBy("node")
                    .agg(*[F.first(c).alias(c) for c in ("n", "coarse", "fine")]), "set-join")
