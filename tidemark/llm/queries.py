@@ -54,7 +54,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(table(spark, sf_dir, "documents"), 400)
+    # The remaining text comes along, so that the result can be judged by itself; a cut may fall inside a character.
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), 400, with_text=True)
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
