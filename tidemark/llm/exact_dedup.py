@@ -98,11 +98,12 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
-    groups = exact_groups(docs, key, text).select(F.col(f"`{key}`").alias("_key"), F.col("text_sha256").alias("_sha"), "kept")
-    stay = groups.where("kept").select("_key", "_sha")
-    rows = docs.withColumn("_sha", F.sha2(normalised(f"`{text}`"), 256))
-    found = rows.join(stay, rows[key].eqNullSafe(stay["_key"]) & (rows["_sha"] == stay["_sha"]), "left_semi")
-    if not groups.groupBy("_key", "_sha").count().where("count > 1").isEmpty():
-        found = found.dropDuplicates([key, "_sha"])
-    return found.drop("_sha")
+    """The rows of `docs` that stay, with all their columns, whatever these are called."""
+    stay = exact_groups(docs, key, text).where("kept").select(F.col(f"`{key}`").alias("_key"), F.col("text_sha256").alias("_sha")).distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{key}`").alias("_key"),
+                       F.sha2(normalised(f"`{text}`"), 256).alias("_sha"))
+    found = rows.join(stay, rows["_key"].eqNullSafe(stay["_key"]) & (rows["_sha"] == stay["_sha"]), "left_semi")
+    # Of rows with one key and text one stays; it is rare that there are any, so the rows aren't shuffled for it unasked.
+    if not rows.groupBy("_key", "_sha").count().where("count > 1").isEmpty():
+        found = found.dropDuplicates(["_key", "_sha"])
+    return found.select("_doc.*")

@@ -51,10 +51,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     return share.select("source", "source_size", "weight", F.when(F.col("source_size") > 0, target).otherwise(0.0).alias("target"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """One row per document: key, source, size, source_size, target, copies, taken (copies times size)."""
-    base = staged(docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{source}`").alias("source"),
-                              word_count(f"`{text}`").alias("size")), "mixing")
+def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", row: str | None = None) -> DataFrame:
+    """One row per document: key, source, size, source_size, target, copies, taken (copies times size).
+
+    `row` names a column that tells rows apart which share a key; it comes along as `_row` and decides nothing.
+    """
+    base = staged(docs.select(F.col(f"`{key}`").alias("_key"), *([] if row is None else [F.col(f"`{row}`").alias("_row")]),
+                              F.col(f"`{source}`").alias("source"), word_count(f"`{text}`").alias("size")), "mixing")
     step = F.floor(F.log2(F.col("size") + 1) * STEPS).cast("int")
     rows = base.select("*", step.alias("step"), F.pmod(F.xxhash64(F.col("_key"), F.lit("cell")), F.lit(SPLITS)).cast("int").alias("split"))
     # Cells before sources: the source totals come from the few cells.
@@ -68,7 +71,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     met = ranked.join(known, ranked["source"].eqNullSafe(known["_source"]) & (ranked["step"] == known["_step"])
                       & (ranked["split"] == known["_split"]))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    placed = staged(met.select("_key", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
+    named = ["_key"] if row is None else ["_key", "_row"]
+    placed = staged(met.select(*named, "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
                                rate.alias("rate"), (F.col("start") + F.col("rank")).alias("upto")), "mixing")
     draw = (F.pmod(F.xxhash64(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")), F.lit("offset")), F.lit(1000)) + 0.5) / 1000
 
@@ -82,5 +86,5 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     chosen = sums.select(F.col("source").alias("_source"), nearest["i"].alias("i"))
     offset = (draw + F.col("i")) / DRAWS
     return (placed.join(chosen, placed["source"].eqNullSafe(chosen["_source"])).withColumn("copies", copies(offset).cast("int"))
-            .select(F.col("_key").alias(key), "source", "size", "source_size", "target",
+            .select(F.col("_key").alias(key), *named[1:], "source", "size", "source_size", "target",
                     "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken")))
