@@ -10,7 +10,8 @@ and writes its results and what to carry on. The operators split keys that are t
 task just as they do in batch, and nothing is done row by row in Python but the period walk.
 
 Everything lives in one folder, a subfolder per batch id: `out` (results), `open` (rows newer than
-the watermark), `untimed` (rows without a time, as they came), `carried`, `clock` (the watermark). A batch reads only what the batch before it
+the watermark), `untimed` (rows without a time, as they came), `late` (rows behind the watermark of an earlier batch, as they
+came), `carried`, `clock` (the watermark). A batch reads only what the batch before it
 wrote and overwrites its own folders, so a repeated batch gives the same files and a stream
 resumed from its checkpoint goes on as if it had never stopped.
 """
@@ -46,8 +47,8 @@ class Step:
 
 
 class Incremental:
-    """A `foreachBatch` handler that feeds one `Step`. `late` rows, at or behind the watermark
-    of an earlier batch, are dropped."""
+    """A `foreachBatch` handler that feeds one `Step`. Late rows, at or behind the watermark
+    of an earlier batch, take no part; they are an output of their own."""
 
     def __init__(self, path: str, time: str, bound: timedelta, step: Step):
         self.path, self.time, self.step = path, time, step
@@ -72,6 +73,7 @@ class Incremental:
         known = [t for t in (before, None if newest is None else newest - self.bound) if t is not None]
         watermark = max(known, default=-(2**62))
         fresh = rows if before is None else rows.filter(us > before)
+        self.keep(rows.filter(F.lit(False) if before is None else us <= before), "late", batch_id)
         self.keep(rows.filter(us.isNull()), "untimed", batch_id)
         waiting = self.previous(spark, "open", batch_id)
         pool = fresh if waiting is None else waiting.unionByName(fresh)
@@ -98,6 +100,10 @@ class Incremental:
         """All rows so far that had no time and so took no part."""
         return spark.read.parquet(f"{self.path}/untimed").drop("batch")
 
+    def late(self, spark: SparkSession) -> DataFrame:
+        """All rows so far that came too late and so took no part."""
+        return spark.read.parquet(f"{self.path}/late").drop("batch")
+
 
 def _with(carried: DataFrame | None, rows: DataFrame) -> DataFrame:
     return rows if carried is None else carried.unionByName(rows)

@@ -1,10 +1,15 @@
 """Stateful stream operators in event-time order.
 
 Every operator here reports what its batch twin reports, whatever order the rows arrive in. Rows
-wait in state until the watermark says that nothing older can come; a timer then takes them
-out in time order. Only what still waits is held, and it is held in the state store, not in
+wait in state until the watermark says that nothing older can come; the key's timer then takes
+them out in time order. Only what still waits is held, and it is held in the state store, not in
 the Python worker.
 
+Waiting rows are appended in lots to buckets of time and never rewritten, but for the one bucket that the
+watermark parts. A key has one timer, at the first time at which it has something to do. A key's state ends
+with the first watermark after which no row can make use of it: with the wait's limit, with the end of the open
+period, or, where a `ttl` is given, that long after the key's last row.
+
 Input rows need a key, a time with a watermark, an id and optionally a tag.
 """
 
@@ -12,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
-from itertools import islice
+from itertools import groupby, islice
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -25,7 +30,8 @@ from tidemark.operators.periods import FLAGGED, PASSED
 from tidemark.operators.sequences import BROKEN, DONE, TIMED_OUT
 
 WAITING = "rows array<struct<us: bigint, id: bigint, tag: string, amount: bigint>>"
-LOT = 4_096
+#: Rows that go into the state at once, and the length of a bucket of time in microseconds.
+LOT, BUCKET = 4_096, 64_000_000
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -36,78 +42,116 @@ def at(us: int | None) -> datetime | None:
 class InOrder(StatefulProcessor):
     """Buffers the rows of a key and hands them to `step` one by one in (time, id, tag) order.
 
-    Subclasses give `state_schema`, `step(state, row)` and, with a `limit`, `overdue(state, us)`
-    for rows whose wait has ended. Both return the new state (None: nothing to keep) and the
-    output rows. A row is `(us, id, tag, amount)`.
+    Subclasses give `state_schema` and `step(state, row)`, which returns the new state (None: nothing to keep) and
+    output rows. A row is `(us, id, tag, amount)`. A state that ends has `ends(state)`, the first time at which a row
+    can't use it any more, and `ended(state)`, the output rows of its end.
     """
 
     state_schema = ""
-    limit: int | None = None
     row: Row
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "ms bigint", WAITING)
+        self.waiting = handle.getMapState("waiting", "bucket bigint, lot bigint", WAITING)
         self.state = handle.getValueState("state", self.state_schema)
+        #: The number of the next lot, and the time of the key's timer in milliseconds.
+        self.agenda = handle.getValueState("agenda", "lots bigint, due bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # Rows go on to the state in small lots, so the worker never holds a whole key.
+        # Rows go on to the state in lots, so the worker never holds a whole key.
+        lots, due = self.agenda.get() if self.agenda.exists() else (0, None)
+        then = due
         while lot := list(islice(rows, LOT)):
-            self.store(lot)
+            lots = self.store([(r["us"], r["id"], r["tag"], r["amount"]) for r in lot], lots)
+            least = min(r["us"] for r in lot) // 1000
+            then = least if then is None else min(then, least)
+        if then != due and due is not None:
+            self.handle.deleteTimer(due)
+        if then != due:
+            self.handle.registerTimer(then)
+        self.agenda.update((lots, then))
         return iter(())
 
-    def store(self, lot) -> None:
-        grouped: dict[int, list] = {}
-        for r in lot:
-            grouped.setdefault(r["us"] // 1000, []).append((r["us"], r["id"], r["tag"], r["amount"]))
-        for ms, new in grouped.items():
-            held = self.waiting.getValue((ms,))
-            kept = [tuple(h) for h in held[0]] if held else []
-            self.waiting.updateValue((ms,), (kept + new,))
-            # One past the millisecond: only then can no row inside it arrive any more.
-            self.handle.registerTimer(ms + 1)
-            if self.limit is not None:
-                for us in {n[0] for n in new}:
-                    self.handle.registerTimer((us + self.limit) // 1000 + 1)
+    def store(self, rows: list[tuple], lots: int) -> int:
+        buckets: dict[int, list] = {}
+        for r in rows:
+            buckets.setdefault(r[0] // BUCKET, []).append(r)
+        for bucket, new in buckets.items():
+            self.waiting.updateValue((bucket, lots), (new,))
+        return lots + 1
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         due = expiredTimerInfo.getExpiryTimeInMs()
+        # No row at or before the watermark can come any more.
+        final = timerValues.getCurrentWatermarkInMs() * 1000
         before = self.state.get() if self.state.exists() else None
-        state, out = before, []
-        held = self.waiting.getValue((due - 1,)) if self.waiting.containsKey((due - 1,)) else None
-        if held:
-            self.waiting.removeKey((due - 1,))
-            for row in sorted((tuple(h) for h in held[0]), key=lambda r: (r[0], r[1], r[2] or "")):
+        state, lots = before, self.agenda.get()[0]
+        entries, times, out = sorted(self.waiting.keys()), [], []
+        for bucket, group in groupby(entries, key=lambda e: e[0]):
+            if bucket * BUCKET > final:
+                times.append(bucket * BUCKET)
+                break
+            held: list[tuple] = []
+            for entry in group:
+                held += [tuple(r) for r in self.waiting.getValue(tuple(entry))[0]]
+                self.waiting.removeKey(tuple(entry))
+            for row in sorted((r for r in held if r[0] <= final), key=lambda r: (r[0], r[1], r[2] or "")):
+                if state is not None and (end := self.ends(state)) is not None and end <= row[0]:
+                    out += self.ended(state)
+                    state = None
                 state, results = self.step(state, row)
                 out += results
-        if self.limit is not None:
-            state, results = self.overdue(state, due * 1000)
-            out += results
+            if rest := [r for r in held if r[0] > final]:
+                lots = self.store(rest, lots)
+                times.append(min(r[0] for r in rest))
+                break
+        end = self.ends(state) if state is not None else None
+        if end is not None and end <= final + 1:
+            out += self.ended(state)
+            state = None
+        elif end is not None:
+            times.append(end - 1)
         if state is None and before is not None:
             self.state.clear()
         elif state is not None and state != before:
             self.state.update(state)
+        if times:
+            # The timer that runs is removed when this returns; another one must have another time.
+            then = max(min(times) // 1000, due + 1)
+            self.handle.registerTimer(then)
+            self.agenda.update((lots, then))
+        else:
+            self.agenda.clear()
         return (self.row(*key, *values) for values in out)
 
     def step(self, state, row):
         raise NotImplementedError
 
-    def overdue(self, state, us: int):
-        return state, []
+    def ends(self, state) -> int | None:
+        return None
+
+    def ended(self, state) -> list[tuple]:
+        return []
 
     def close(self) -> None:
         pass
 
 
 class Running(InOrder):
-    """(id, running_count, running_sum) for every row."""
+    """(id, running_count, running_sum) for every row, anew after `ttl` without a row."""
+
+    state_schema = "n bigint, total bigint, us bigint"
 
-    state_schema = "n bigint, total bigint"
+    def __init__(self, ttl: int | None = None):
+        self.ttl = ttl
 
     def step(self, state, row):
-        n, total = state or (0, 0)
+        n, total, _ = state or (0, 0, 0)
         n, total = n + 1, total + (row[3] or 0)
-        return (n, total), [(row[1], n, total)]
+        return (n, total, row[0]), [(row[1], n, total)]
+
+    def ends(self, state):
+        return None if self.ttl is None else state[2] + self.ttl
 
 
 class Periods(InOrder):
@@ -119,11 +163,12 @@ class Periods(InOrder):
         self.least = least
 
     def step(self, state, row):
-        start, place = state or (None, 0)
-        if start is None or (self.least is not None and row[0] - start >= self.least):
-            start, place = row[0], 0
+        start, place = state or (row[0], 0)
         return (start, place + 1), [(row[1], place + 1)]
 
+    def ends(self, state):
+        return None if self.least is None else state[0] + self.least
+
 
 class Sequence(InOrder):
     """(id, started_at, done_at, outcome) for every first event."""
@@ -133,25 +178,24 @@ class Sequence(InOrder):
     def __init__(self, first: str, then: str, within: timedelta):
         self.first, self.then = first.lower(), then.lower()
         # An event exactly `within` later is too late.
-        self.limit = within // MICROSECOND - 1
+        self.within = within // MICROSECOND
 
     def step(self, state, row):
         us, row_id, kind, _ = row
         out = []
         if state is not None:
             started, started_id = state
-            if us > started + self.limit:
-                out.append((started_id, at(started), None, TIMED_OUT))
-            elif (kind or "").lower() == self.then:
+            if (kind or "").lower() == self.then:
                 out.append((started_id, at(started), at(us), DONE))
             else:
                 out.append((started_id, at(started), None, BROKEN))
         return ((us, row_id) if (kind or "").lower() == self.first else None), out
 
-    def overdue(self, state, us):
-        if state is None or state[0] + self.limit >= us:
-            return state, []
-        return None, [(state[1], at(state[0]), None, TIMED_OUT)]
+    def ends(self, state):
+        return state[0] + self.within
+
+    def ended(self, state):
+        return [(state[1], at(state[0]), None, TIMED_OUT)]
 
 
 class TwoStreamMatch(InOrder):
@@ -160,7 +204,8 @@ class TwoStreamMatch(InOrder):
     state_schema = "us bigint, id bigint, side string"
 
     def __init__(self, timeout: timedelta, left_only: str, right_only: str):
-        self.limit = timeout // MICROSECOND
+        # An event exactly `timeout` later still matches.
+        self.timeout = timeout // MICROSECOND + 1
         self.alone = {"0": left_only, "1": right_only}
 
     def report(self, slot, outcome):
@@ -169,22 +214,19 @@ class TwoStreamMatch(InOrder):
         return (*own, *none, outcome) if side == "0" else (*none, *own, outcome)
 
     def step(self, state, row):
-        out = []
-        if state is not None and row[0] > state[0] + self.limit:
-            out.append(self.report(state, self.alone[state[2]]))
-            state = None
         slot = (row[0], row[1], row[2])
         if state is None:
-            return slot, out
+            return slot, []
         if state[2] == row[2]:
-            return slot, [*out, self.report(state, SUPERSEDED)]
+            return slot, [self.report(state, SUPERSEDED)]
         left, right = (state, slot) if state[2] == "0" else (slot, state)
-        return None, [*out, (left[1], at(left[0]), right[1], at(right[0]), MATCHED)]
+        return None, [(left[1], at(left[0]), right[1], at(right[0]), MATCHED)]
+
+    def ends(self, state):
+        return state[0] + self.timeout
 
-    def overdue(self, state, us):
-        if state is None or state[0] + self.limit >= us:
-            return state, []
-        return None, [self.report(state, self.alone[state[2]])]
+    def ended(self, state):
+        return [self.report(state, self.alone[state[2]])]
 
 
 def _in_order(df: DataFrame, key, time, row_id, processor, columns: str, tag: Column, amount: Column) -> DataFrame:
@@ -202,10 +244,17 @@ def _in_order(df: DataFrame, key, time, row_id, processor, columns: str, tag: Co
     )
 
 
-def stream_running(df: DataFrame, key: str, time: str, row_id: str, amount: Column) -> DataFrame:
-    """(key, id, running_count, running_sum). `amount` is a whole number."""
+def stream_running(
+    df: DataFrame, key: str, time: str, row_id: str, amount: Column, ttl: timedelta | None = None
+) -> DataFrame:
+    """(key, id, running_count, running_sum). `amount` is a whole number.
+
+    With a `ttl`, a key that has had no row for so long is forgotten: its state is removed once the watermark has passed
+    that time, and a row that comes exactly `ttl` after the last one or later is the first one again.
+    """
     columns = "id bigint, running_count bigint, running_sum bigint"
-    return _in_order(df, key, time, row_id, Running(), columns, F.lit(None), amount)
+    processor = Running(None if ttl is None else ttl // MICROSECOND)
+    return _in_order(df, key, time, row_id, processor, columns, F.lit(None), amount)
 
 
 def stream_running_average(
