@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
@@ -160,8 +161,8 @@ def compact_report(spark: SparkSession, name: str, threshold: int = MERGE_THRESH
     outcome = F.when(F.col("_new") == F.col("rows"), OK).otherwise(COUNT_MISMATCH)
     done = materialised(met.select(*[plan[c] for c in levels], F.col("files").alias("files_before"), "target_files", F.col("_files").alias("files_after"),
                                    "rows", outcome.alias("outcome"), file_path("_any").alias("_any")), "compaction")
-    for row in done.filter(F.col("outcome") == OK).toLocalIterator():
-        point_partition(spark, name, {c: row[c] for c in levels}, row["_any"].rsplit("/", 1)[0])
+    point_partitions(spark, name, (({c: row[c] for c in levels}, row["_any"].rsplit("/", 1)[0])
+                                   for row in done.filter(F.col("outcome") == OK).toLocalIterator()))
     return done.select(*result).unionByName(left)
 
 
@@ -206,7 +207,12 @@ def publish_verified(spark: SparkSession, name: str, spec: dict[str, object], st
 
 
 def point_partition(spark: SparkSession, name: str, spec: dict[str, object], location: str) -> None:
-    place = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {name} PARTITION ({spec_sql(spec)}) SET LOCATION '{place}'")
-    spark.catalog.refreshTable(name)
+    point_partitions(spark, name, [(spec, location)])
+
 
+def point_partitions(spark: SparkSession, name: str, places: Iterable[tuple[dict[str, object], str]]) -> None:
+    """Point partitions to folders: a catalog call for each, and one refresh for all of them."""
+    for spec, location in places:
+        place = location.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec_sql(spec)}) SET LOCATION '{place}'")
+    spark.catalog.refreshTable(name)

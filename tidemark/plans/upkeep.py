@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.paths import MERGE_THRESHOLD
 from tidemark.operators import upkeep
 from tidemark.operators.groups import partition_counts
+from tidemark.operators.maintenance import PUBLISHED, STAGED, STAGING, Maintenance
 from tidemark.plans.registry import query
 from tidemark.session import scratch
 from tidemark.sources import inventory, sinks, tables
@@ -165,6 +166,70 @@ def compact_partition(spark, sf, file_rows=FILE_ROWS, threshold=MERGE_THRESHOLD)
                       F.ceil(report["files_after"] / report["target_files"]).cast("int").alias("files_after"), after["rows"], "outcome", "quantity")
 
 
+FAULTS_SQL = """
+WITH p AS (SELECT l_returnflag, l_linestatus, CAST(l_quantity AS BIGINT) AS q, l_returnflag = 'N' AND l_linestatus = 'F' AND l_quantity <= 10 AS twice FROM lineitem)
+SELECT l_returnflag, l_linestatus,
+  CASE WHEN l_returnflag = 'R' THEN 'rolled_back' WHEN l_returnflag = 'A' OR l_linestatus = 'F' THEN 'refused' ELSE 'done' END AS status,
+  CASE WHEN l_returnflag IN ('A', 'R') THEN 'damaged' WHEN l_linestatus = 'F' THEN 'count_mismatch' ELSE 'ok' END AS detail,
+  l_returnflag || l_linestatus = 'NO' AS renewed, 2 AS runs, count(*) + count(*) FILTER (WHERE twice) AS n,
+  (sum(q) + coalesce(sum(q) FILTER (WHERE twice), 0))::BIGINT AS quantity
+FROM p GROUP BY 1, 2
+"""
+
+
+@query("maintain", FAULTS_SQL)
+def maintain(spark, sf):
+    """Maintenance with one staged partition damaged, one that got rows after staging, one damaged after publishing, and a
+    run that dies while staging; with the partitions' content and whether it comes from a new folder."""
+    name = f"lineitem_{uuid.uuid4().hex}"
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", *FLAGS)
+    files = max(4, -(-rows.count() // FILE_ROWS))
+    rows.repartition(files).write.format("parquet").partitionBy(*FLAGS).option("path", scratch(spark, name)).saveAsTable(name)
+    log, runs = scratch(spark, "log"), []
+
+    def on_step(status):
+        if status == STAGING and len(runs) == 1:
+            raise InterruptedError("the run dies")
+        if status == STAGED:
+            invert_files(spark, chain.states(STAGED).filter("partition LIKE '%\"A\"%'"))
+            again = spark.table(name).filter("l_returnflag = 'N' AND l_linestatus = 'F' AND l_quantity <= 10")
+            again.write.insertInto(name)
+        if status == PUBLISHED:
+            invert_files(spark, chain.states(PUBLISHED).filter("partition LIKE '%\"R\"%'"))
+
+    chain = Maintenance(spark, name, log, on_step=on_step)
+    while len(runs) < 2:
+        runs.append(name)
+        try:
+            report = chain.run()
+        except InterruptedError:
+            pass
+    place = F.regexp_replace(inventory.file_path("_metadata.file_path"), "/[^/]*$", "")
+    live = spark.table(name).groupBy(*FLAGS).agg(
+        F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"), F.max(place).alias("_place"))
+    return live.join(report, FLAGS).select(
+        *FLAGS, "status", "detail", (F.col("_place") == F.col("path")).alias("renewed"), F.lit(len(runs)).alias("runs"), "n", "quantity")
+
+
+def invert_files(spark, entries):
+    """Inverts the middle third of every file in the folders (`path`) of log entries; tasks do it, files are of bounded length."""
+    folders = [r["path"] for r in entries.select("path").distinct().collect()]
+    listed = inventory.file_inventory(spark, folders).filter(F.col("path").endswith(".parquet")).select("path")
+
+    def invert(batches):
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                system, place = fs.FileSystem.from_uri(re.sub("^file:/+", "/", name))
+                with system.open_input_stream(place) as source:
+                    data = source.read()
+                first, last = len(data) // 3, len(data) // 3 * 2
+                with system.open_output_stream(place) as out:
+                    out.write(data[:first] + data[first:last].translate(INVERTED) + data[last:])
+            yield b
+
+    listed.repartition(spark.sparkContext.defaultParallelism, "path").mapInArrow(invert, listed.schema).write.format("noop").mode("overwrite").save()
+
+
 @query("publish_verified", CONTENT + ", 'ok,count_mismatch' AS outcomes FROM lineitem GROUP BY ALL")
 def publish_verified(spark, sf):
     """A whole copy of one partition is published, an incomplete copy of another is not."""
