@@ -2,7 +2,7 @@
 
 A period starts with a row and lasts a fixed time; the first row after it starts the next
 one. Where a period starts depends on the one before, so the rows of a key are walked in order.
-The walk is a few integer comparisons per row, streamed through Arrow after one exchange.
+The walk is one step per period between pointers found for whole Arrow batches, after one exchange.
 
 A key too large for one task is walked chunk by chunk, all at once. Before that, each chunk
 must know which period was open when it began, see `_seeds`.
@@ -64,30 +64,62 @@ def _with_untimed(placed: DataFrame, df: DataFrame, time: str) -> DataFrame:
 
 
 def _walker(least: int):
-    """The period walk over sorted Arrow batches; rows arrive key by key, chunk by chunk."""
+    """The period walk over sorted Arrow batches; rows arrive key by key, chunk by chunk.
+
+    Where the next period would start if one started at a row is found for all rows of a batch at once; the walk itself
+    then takes one step for each period.
+    """
 
     def walk(batches):
         start, place = None, 0
         for batch in batches:
-            columns = (batch.column(batch.schema.get_field_index(n)).to_pylist()
-                       for n in ("_first", "_us", "_open", "_open_rows"))
-            places, starts = [], []
-            for first, now, opened, opened_rows in zip(*columns):
-                if first:
-                    start, place = opened, opened_rows or 0
-                if start is None or now - start >= least:
-                    start, place = now, 1
-                else:
-                    place += 1
-                places.append(place)
-                starts.append(start)
+            n = batch.num_rows
+            if not n:
+                continue
+            first, us, opened, opened_rows = (batch.column(batch.schema.get_field_index(c)) for c in ("_first", "_us", "_open", "_open_rows"))
+            us = us.to_numpy()
+            heads = np.flatnonzero(first.to_numpy(zero_copy_only=False))
+            begins = heads if len(heads) and heads[0] == 0 else np.concatenate(([0], heads))
+            onward = _next_starts(us, begins, least).tolist()
+            ends, starts, taken_over = [*begins[1:].tolist(), n], [], []
+            goes_on = len(begins) > len(heads)
+            seeded = opened.null_count < n
+            for i, end in zip(begins.tolist(), ends):
+                if i or not goes_on:
+                    start = opened[i].as_py() if seeded else None
+                    place = (opened_rows[i].as_py() or 0) if seeded else 0
+                if start is not None:
+                    # What the period that is open takes in before a new one starts.
+                    upto = i + int(np.searchsorted(us[i:end], start + least))
+                    taken_over.append((i, upto, start, place))
+                    i = upto
+                while i < end:
+                    starts.append(i)
+                    i = onward[i]
+            base = np.zeros(n, np.int64)
+            base[starts] = starts
+            np.maximum.accumulate(base, out=base)
+            places, began = np.arange(1, n + 1) - base, us[base]
+            for i, upto, since, before in taken_over:
+                places[i:upto], began[i:upto] = np.arange(before + 1, before + 1 + upto - i), since
+            start, place = int(began[-1]), int(places[-1])
             names = [*batch.schema.names, "period_pos", "period_start"]
-            added = [pa.array(column, pa.int64()) for column in (places, starts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places), pa.array(began)], names=names)
 
     return walk
 
 
+def _next_starts(us: np.ndarray, begins: np.ndarray, least: int) -> np.ndarray:
+    """For each row the first one of its group that comes `least` or more after it, or the group's end."""
+    ends = np.append(begins[1:], len(us))
+    span = int(us.max()) - int(us.min()) + least + 1
+    if span * len(begins) < 1 << 62:
+        group = np.repeat(np.arange(len(begins)), ends - begins)
+        line = group * span + (us - us.min())
+        return np.searchsorted(line, line + least)
+    return np.concatenate([a + np.searchsorted(us[a:b], us[a:b] + least) for a, b in zip(begins.tolist(), ends.tolist())])
+
+
 def _seeds(laid: Spread, rows: DataFrame, least: int, chunk_rows: int | None) -> DataFrame:
     """(keys, chunk, _open, _open_rows): the period open at the start of each chunk.
 

@@ -11,7 +11,8 @@ task just as they do in batch, and nothing is done row by row in Python but the
 
 Everything lives in one folder, a subfolder per batch id: `out` (results), `open` (rows newer than
 the watermark), `untimed` (rows without a time, as they came), `late` (rows behind the watermark of an earlier batch, as they
-came), `carried`, `clock` (the watermark). A batch reads only what the batch before it
+came), `carried`, `clock` (the watermark). Where every key ever seen is carried (running totals), `carried` is a table in hash
+buckets: a batch reads and rewrites only the buckets of its own keys, and `clock` says in which batch each was written last. A batch reads only what the batch before it
 wrote and overwrites its own folders, so a repeated batch gives the same files and a stream
 resumed from its checkpoint goes on as if it had never stopped.
 """
@@ -32,6 +33,8 @@ from tidemark.operators.running import running
 from tidemark.operators.sequences import BROKEN, TIMED_OUT, sequence_timeout
 from tidemark.session import delete_folder
 
+#: Buckets of a carried table that keeps every key; a batch of few keys touches few of them.
+BUCKETS = 1024
 #: Carry-overs kept for going back, as many batches as Spark keeps in a checkpoint (`spark.sql.streaming.minBatchesToRetain`).
 KEPT_BATCHES = 100
 
@@ -39,11 +42,13 @@ KEPT_BATCHES = 100
 @dataclass(frozen=True)
 class Step:
     """What a micro-batch does: `work` over the carried and the final rows, then what of the
-    outcome is a `result` and what is carried on. The watermark is in epoch microseconds."""
+    outcome is a `result` and what is carried on. The watermark is in epoch microseconds. With a `bucket_key`, what `carry`
+    returns holds all keys of the buckets that the batch touched, and other buckets stay as they are."""
 
     work: Callable[[DataFrame | None, DataFrame], DataFrame]
     results: Callable[[DataFrame, int], DataFrame]
     carry: Callable[[DataFrame, int, DataFrame | None], DataFrame]
+    bucket_key: str | None = None
 
 
 class Incremental:
@@ -78,18 +83,48 @@ class Incremental:
         waiting = self.previous(spark, "open", batch_id)
         pool = fresh if waiting is None else waiting.unionByName(fresh)
         self.keep(pool.filter(us > watermark), "open", batch_id)
-        carried = self.previous(spark, "carried", batch_id)
-        found = self.step.work(carried, pool.filter(us <= watermark)).persist()
+        final = pool.filter(us <= watermark)
+        written, touched = (list(clock.first()["written"]) if clock else [-1] * BUCKETS), None
+        if self.step.bucket_key:
+            final = final.persist()
+            touched = [r["b"] for r in final.select(self.bucket().alias("b")).distinct().collect()]  # BUCKETS at most
+            carried = self.bucketed(spark, written, touched)
+        else:
+            carried = self.previous(spark, "carried", batch_id)
+        found = self.step.work(carried, final).persist()
         self.keep(self.step.results(found, watermark), "out", batch_id)
-        self.keep(self.step.carry(found, watermark, carried), "carried", batch_id)
-        self.keep(spark.createDataFrame([(watermark,)], "us bigint"), "clock", batch_id)
+        left = self.step.carry(found, watermark, carried)
+        if touched is None:
+            self.keep(left, "carried", batch_id)
+        else:
+            left.withColumn("_b", self.bucket()).repartition("_b").write.mode("overwrite").partitionBy("_b").parquet(self.folder("carried", batch_id))
+            for b in touched:
+                written[b] = batch_id
+        self.keep(spark.createDataFrame([(watermark, written)], "us bigint, written array<bigint>"), "clock", batch_id)
         found.unpersist()
+        final.unpersist()
         rows.unpersist()
         self.forget(spark, batch_id - KEPT_BATCHES)
 
+    def bucket(self):
+        return F.pmod(F.xxhash64(self.step.bucket_key), F.lit(BUCKETS)).cast("int")
+
+    def bucketed(self, spark: SparkSession, written: list[int], buckets: list[int]) -> DataFrame | None:
+        """What is carried in some buckets, from the batch that wrote each of them last."""
+        places = [f"{self.folder('carried', written[b])}/_b={b}" for b in buckets if written[b] >= 0]
+        return spark.read.parquet(*places) if places else None
+
     def forget(self, spark: SparkSession, batch_id: int) -> None:
         """Remove what a batch long done left for its successor; results stay."""
-        for part in ("open", "carried", "clock"):
+        if batch_id < 0:
+            return
+        if self.step.bucket_key:
+            # A bucket goes when the batch after this one has written it anew.
+            old, new = (spark.read.parquet(self.folder("clock", n)).first()["written"] for n in (batch_id, batch_id + 1))
+            for b in range(BUCKETS):
+                if old[b] >= 0 and old[b] != new[b]:
+                    delete_folder(spark, f"{self.folder('carried', old[b])}/_b={b}")
+        for part in ("open", "clock", *(() if self.step.bucket_key else ("carried",))):
             delete_folder(spark, self.folder(part, batch_id))
 
     def results(self, spark: SparkSession) -> DataFrame:
@@ -210,7 +245,7 @@ def running_step(
     chunk_rows: int | None = None,
 ) -> Step:
     """(key, time, id, running_count[, running_sum]) for each row, or with a `cap` the rows
-    (key, time, id, outcome) that pass or are flagged. A key carries its count and sum."""
+    (key, time, id, outcome) that pass or are flagged. A key carries its count and sum, in the bucket of its hash."""
     values = [value] if value else []
     running_names = ["running_count", *["running_sum" for _ in values]]
 
@@ -235,4 +270,4 @@ def running_step(
         last = totals.groupBy(key).agg(F.max_by(F.struct(*running_names), "running_count").alias("_last"))
         return last.select(key, "_last.*")
 
-    return Step(work, results, carry)
+    return Step(work, results, carry, key)
