@@ -1,8 +1,10 @@
 """Exact deduplication of normalised texts by counted fingerprints and byte verification.
 
-Each partition sorts and counts the 64-bit fingerprints of its texts. These lists stand for counting quotient filters: they
-merge without loss, one range of high bits at a time, but hold whole fingerprints and counts, no quotients and
-remainders. Only fingerprints counted more than once are looked at again: their texts are compared byte by
+Each partition gathers the 64-bit fingerprints of its texts in counting quotient filters, one for each range of high bits. A filter
+cuts a fingerprint into a quotient, which is not stored but is the place of its run, and a remainder; a run holds its
+remainders in order, and a remainder that came more than once has a counter. Filters of one range merge without loss,
+whatever their numbers of quotients are, since both are in order of the whole fingerprint. Only fingerprints counted
+more than once are looked at again: their texts are compared byte by
 byte, by grouping on the text itself. Copies are combined before every shuffle, so a group of any size is one row
 for each task that saw it.
 
@@ -14,6 +16,7 @@ empty result. Columns other than key and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,57 @@ def build_filter(fingerprints: np.ndarray, counts: np.ndarray | None = None) ->
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
+class QuotientFilter(NamedTuple):
+    """The fingerprints of one range, counted. Of each quotient `runs` says how many remainders it has."""
+
+    shift: int  # bits of a remainder
+    runs: np.ndarray
+    remainders: np.ndarray
+    places: np.ndarray  # of the remainders that came more than once, in order
+    counts: np.ndarray  # and how often they came
+
+    @classmethod
+    def of(cls, fingerprints: np.ndarray, counts: np.ndarray) -> QuotientFilter:
+        """From sorted distinct fingerprints that share their RANGE_BITS high bits."""
+        low = fingerprints & np.uint64((1 << (64 - RANGE_BITS)) - 1)
+        # One to two remainders for each quotient on average.
+        quotient_bits = min(64 - RANGE_BITS, max(0, len(low).bit_length() - 1))
+        shift = 64 - RANGE_BITS - quotient_bits
+        runs = np.bincount((low >> np.uint64(shift)).astype(np.int64), minlength=1 << quotient_bits)
+        places = np.flatnonzero(counts > 1)
+        return cls(shift, runs, low & np.uint64((1 << shift) - 1), places, counts[places])
+
+    def fingerprints(self, part: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted fingerprints of range `part` and their counts."""
+        quotients = np.repeat(np.arange(len(self.runs), dtype=np.uint64), self.runs)
+        counts = np.ones(len(self.remainders), np.int64)
+        counts[self.places] = self.counts
+        high = np.uint64(part) << np.uint64(64 - RANGE_BITS)
+        return high | quotients << np.uint64(self.shift) | self.remainders, counts
+
+    def packed(self) -> bytes:
+        """Run lengths in the least width that holds them, remainders cut to whole bytes, then places and counters."""
+        width = next(w for w in (1, 2, 4, 8) if int(self.runs.max(initial=0)) < 1 << 8 * w)
+        wide = -(-self.shift // 8)
+        head = np.array([self.shift, width, len(self.runs), len(self.remainders), len(self.places)], "<i8")
+        cut = self.remainders.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
+        return b"".join((head.tobytes(), self.runs.astype(f"<u{width}").tobytes(), np.ascontiguousarray(cut).tobytes(),
+                         self.places.astype("<u4").tobytes(), self.counts.astype("<i8").tobytes()))
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> QuotientFilter:
+        shift, width, quotients, n, repeated = np.frombuffer(data, "<i8", 5).tolist()
+        wide, at = -(-shift // 8), 40
+        runs = np.frombuffer(data, f"<u{width}", quotients, at).astype(np.int64)
+        at += width * quotients
+        remainders = np.zeros((n, 8), np.uint8)
+        remainders[:, :wide] = np.frombuffer(data, np.uint8, wide * n, at).reshape(n, wide)
+        at += wide * n
+        places = np.frombuffer(data, "<u4", repeated, at).astype(np.int64)
+        counts = np.frombuffer(data, "<i8", repeated, at + 4 * repeated)
+        return cls(shift, runs, remainders.view("<u8").ravel().astype(np.uint64), places, counts)
+
+
 def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
     """The values of the only column, `fp`, that occur more than once: column `fp`."""
     shift = np.uint64(64 - RANGE_BITS)
@@ -50,9 +104,8 @@ def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
         parts = (keys >> shift).astype(np.int64)
         at = np.flatnonzero(np.concatenate(([True], parts[1:] != parts[:-1])))
         ends = np.append(at[1:], len(keys))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(parts[at]), pa.array([keys[a:e].tobytes() for a, e in zip(at, ends)], pa.binary()),
-             pa.array([counts[a:e].tobytes() for a, e in zip(at, ends)], pa.binary())], names=["part", "keys", "counts"])
+        filters = [QuotientFilter.of(keys[a:e], counts[a:e]).packed() for a, e in zip(at, ends)]
+        return pa.RecordBatch.from_arrays([pa.array(parts[at]), pa.array(filters, pa.binary())], names=["part", "filter"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -66,15 +119,14 @@ def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
             yield cut(keys, counts)
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys, counts, part = np.zeros(0, np.uint64), np.zeros(0, np.int64), key[0].as_py()
         for b in batches:
-            for packed, numbers in zip(b.column("keys").to_pylist(), b.column("counts").to_pylist()):
-                keys = np.concatenate((keys, np.frombuffer(packed, np.uint64)))
-                counts = np.concatenate((counts, np.frombuffer(numbers, np.int64)))
-            keys, counts = build_filter(keys, counts)
+            found = [QuotientFilter.unpacked(f.as_py()).fingerprints(part) for f in b.column("filter")]
+            keys = np.concatenate((keys, *(k for k, _ in found)))
+            keys, counts = build_filter(keys, np.concatenate((counts, *(c for _, c in found))))
         yield pa.RecordBatch.from_arrays([pa.array(keys[counts > 1].view(np.int64))], names=["fp"])
 
-    filters = fingerprints.mapInArrow(build, "part long, keys binary, counts binary")
+    filters = fingerprints.mapInArrow(build, "part long, filter binary")
     return filters.groupBy("part").applyInArrow(merge, "fp long")
 
 
