@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.scalars import MICROSECOND, micros
 
@@ -29,10 +30,12 @@ def interval_join(
     cut into slots as long as the band, so a row meets the rows of at most two slots. The right
     rows are copied into the slots they can reach, each left row stays in its one slot, so
     pairs are found once and outer rows are told once. What skew remains inside a slot is
-    real output; adaptive execution splits it.
+    real output; adaptive execution splits it. `left_anti` forms no pairs: see `_without_partner`.
     """
     lower, upper = before // MICROSECOND, after // MICROSECOND
     width = max(1, lower + upper)
+    if how == "left_anti":
+        return _without_partner(left, right, key, left_time, right_time, lower, upper, width)
     here = left.withColumn("_lus", micros(left_time)).withColumn("_slot", time_slot(F.col("_lus"), width))
     reach = right.withColumn("_rus", micros(right_time)).withColumnRenamed(key, "_rkey")
     slots = F.sequence(time_slot(F.col("_rus") - upper, width), time_slot(F.col("_rus") + lower, width))
@@ -42,6 +45,32 @@ def interval_join(
     return here.join(reach, on, how).drop("_lus", "_slot", "_rkey", "_rus", "_rslot")
 
 
+def _without_partner(
+    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, lower: int, upper: int, width: int
+) -> DataFrame:
+    """The left rows that no right row lies in reach of, by one scan of both sides in order of time.
+
+    Of the right rows not behind a left row's reach the last one decides: if it lies before the reach, none lies in it. Both
+    sides are merged by key and slot, and right rows of one time count once, so the work is that of a sort however many
+    pairs there would be.
+    """
+    place = StructType([StructField("_k", right.schema[key].dataType), StructField("_slot", LongType()), StructField("_at", LongType()),
+                        StructField("_rus", LongType()), StructField("_row", left.select(F.struct(*left.columns).alias("r")).schema["r"].dataType)])
+    known = F.col(key).isNotNull() & F.col(left_time).isNotNull()
+    us = micros(left_time)
+    here = left.filter(known).select(
+        F.col(key), time_slot(us, width), us + upper, F.lit(None).cast("long"), F.struct(*left.columns)).toDF(*place.names)
+    there = right.filter(F.col(key).isNotNull()).select(F.col(key).alias("_k"), micros(right_time).alias("_rus")).filter("_rus IS NOT NULL")
+    slots = F.sequence(time_slot(F.col("_rus") - upper, width), time_slot(F.col("_rus") + lower, width))
+    reach = there.select("_k", F.explode(slots).alias("_slot"), "_rus").distinct()
+    reach = reach.select("_k", "_slot", F.col("_rus").alias("_at"), "_rus", F.lit(None).cast(place["_row"].dataType).alias("_row"))
+    # At one time right rows come first: the ends of the band count.
+    so_far = Window.partitionBy("_k", "_slot").orderBy("_at", F.col("_rus").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = here.unionByName(reach).withColumn("_last", F.last("_rus", ignorenulls=True).over(so_far))
+    alone = both.filter(F.col("_row").isNotNull() & (F.col("_last").isNull() | (F.col("_last") < F.col("_at") - (lower + upper))))
+    return alone.select("_row.*").unionByName(left.filter(~known))
+
+
 def time_slot(us: Column, width: int) -> Column:
     # Whole-number floor: a double would lose microseconds.
     return ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("long")
