@@ -77,10 +77,13 @@ def shingles(text: str, n: int = WORDS) -> np.ndarray:
     h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     if len(h) < n:
         return np.array([xxhash.xxh3_64_intdigest(h.tobytes(), seed=len(h))], np.uint64)
-    acc = np.zeros(len(h) - n + 1, np.uint64)
-    for i in range(n):
-        acc = mixed(acc * _M1 + h[i : len(h) - n + 1 + i])
-    return np.unique(acc)
+    # Odd multipliers, one for each place, then one scramble of the sum.
+    odd, end = mixed(np.arange(1, n + 1, dtype=np.uint64) * _M1) | np.uint64(1), len(h) - n + 1
+    acc = h[:end] * odd[0]
+    for i in range(1, n):
+        acc += h[i : end + i] * odd[i]
+    acc = np.sort(mixed(acc))
+    return acc[np.concatenate(([True], acc[1:] != acc[:-1]))]
 
 
 def set_name(s: np.ndarray) -> int:
