@@ -91,6 +91,30 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
 """
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+') AS words FROM documents),
+  s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                                       ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle FROM w),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+  l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+  r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) LEFT JOIN n USING (doc_id)
+"""
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+  b AS (SELECT page_id, h, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(strpos('123456789abcdef', x[i])), 4, '0')), '') AS bits FROM p),
+  f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id,
+          array_to_string(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + 16 * bits[5 * i + 1]::INT + 8 * bits[5 * i + 2]::INT
+            + 4 * bits[5 * i + 3]::INT + 2 * bits[5 * i + 4]::INT + bits[5 * i + 5]::INT]), '') AS payload_digest FROM b)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
 #: The standard pages hold no redirects and no canonical links, so a rule or the default decides here.
 OP12_SQL = r"""
 WITH p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -121,4 +145,4 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_token_counts, op3_sharding, op4_ngram_jaccard, op5_warc, op6_mixing, op7_toxicity, op8_suffix_repeats, op9_quality_rules, op10_exact_dedup,
     op11_embedding_whitening, op12_url_filters, op13_lexical_search,
 )}
-ORACLES: dict[str, str] = {"op10_exact_dedup": OP10_SQL, "op12_url_filters": OP12_SQL, "op13_lexical_search": OP13_SQL}
+ORACLES: dict[str, str] = {"op4_ngram_jaccard": OP4_SQL, "op5_warc": OP5_SQL, "op10_exact_dedup": OP10_SQL, "op12_url_filters": OP12_SQL, "op13_lexical_search": OP13_SQL}
