@@ -33,8 +33,8 @@ from tidemark.operators.running import running
 from tidemark.operators.sequences import BROKEN, TIMED_OUT, sequence_timeout
 from tidemark.session import delete_folder
 
-#: Buckets of a carried table that keeps every key; a batch of few keys touches few of them.
-BUCKETS = 1024
+#: Buckets of a carried table that keeps every key, a file each: more of them for more keys. A batch of few keys touches few of them.
+BUCKETS = 32
 #: Carry-overs kept for going back, as many batches as Spark keeps in a checkpoint (`spark.sql.streaming.minBatchesToRetain`).
 KEPT_BATCHES = 100
 
@@ -55,8 +55,8 @@ class Incremental:
     """A `foreachBatch` handler that feeds one `Step`. Late rows, at or behind the watermark
     of an earlier batch, take no part; they are an output of their own."""
 
-    def __init__(self, path: str, time: str, bound: timedelta, step: Step):
-        self.path, self.time, self.step = path, time, step
+    def __init__(self, path: str, time: str, bound: timedelta, step: Step, buckets: int = BUCKETS):
+        self.path, self.time, self.step, self.buckets = path, time, step, buckets
         self.bound = bound // MICROSECOND
 
     def folder(self, part: str, batch_id: int) -> str:
@@ -84,10 +84,10 @@ class Incremental:
         pool = fresh if waiting is None else waiting.unionByName(fresh)
         self.keep(pool.filter(us > watermark), "open", batch_id)
         final = pool.filter(us <= watermark)
-        written, touched = (list(clock.first()["written"]) if clock else [-1] * BUCKETS), None
+        written, touched = (list(clock.first()["written"]) if clock else [-1] * self.buckets), None
         if self.step.bucket_key:
             final = final.persist()
-            touched = [r["b"] for r in final.select(self.bucket().alias("b")).distinct().collect()]  # BUCKETS at most
+            touched = [r["b"] for r in final.select(self.bucket().alias("b")).distinct().collect()]  # as many as there are buckets at most
             carried = self.bucketed(spark, written, touched)
         else:
             carried = self.previous(spark, "carried", batch_id)
@@ -107,7 +107,7 @@ class Incremental:
         self.forget(spark, batch_id - KEPT_BATCHES)
 
     def bucket(self):
-        return F.pmod(F.xxhash64(self.step.bucket_key), F.lit(BUCKETS)).cast("int")
+        return F.pmod(F.xxhash64(self.step.bucket_key), F.lit(self.buckets)).cast("int")
 
     def bucketed(self, spark: SparkSession, written: list[int], buckets: list[int]) -> DataFrame | None:
         """What is carried in some buckets, from the batch that wrote each of them last."""
@@ -121,7 +121,7 @@ class Incremental:
         if self.step.bucket_key:
             # A bucket goes when the batch after this one has written it anew.
             old, new = (spark.read.parquet(self.folder("clock", n)).first()["written"] for n in (batch_id, batch_id + 1))
-            for b in range(BUCKETS):
+            for b in range(self.buckets):
                 if old[b] >= 0 and old[b] != new[b]:
                     delete_folder(spark, f"{self.folder('carried', old[b])}/_b={b}")
         for part in ("open", "clock", *(() if self.step.bucket_key else ("carried",))):
