@@ -29,6 +29,10 @@ from tidemark.llm.common import BLANKS, staged, text_or_empty
 RANGE_BITS = 10
 #: Fingerprints that a partition gathers before it writes a list.
 FILTER_SIZE = 2_000_000
+#: Fewer fingerprints than this are not worth a merge of their own.
+MERGE_FROM = 65_536
+#: Tasks that the rows of one group are dealt to, at most; one bit of a long each.
+SALTS = 64
 
 
 def normalised(text: str | Column) -> Column:
@@ -96,6 +100,30 @@ class QuotientFilter(NamedTuple):
         return cls(shift, runs, remainders.view("<u8").ravel().astype(np.uint64), places, counts)
 
 
+class Counted:
+    """Fingerprints with counts. What was added is merged in once it is as much as what is held, so each is sorted a few times."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size, self.settled = 0, 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.size += len(keys)
+        if self.size > max(MERGE_FROM, 2 * self.settled):
+            self._merge()
+
+    def _merge(self) -> None:
+        self.parts = [build_filter(*(np.concatenate(x) for x in zip(*self.parts)))]
+        self.size = self.settled = len(self.parts[0][0])
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        """All of them, sorted and distinct; none are held after that."""
+        self._merge()
+        out, self.parts, self.size, self.settled = self.parts[0], [], 0, 0
+        return out
+
+
 def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
     """The values of the only column, `fp`, that occur more than once: column `fp`."""
     shift = np.uint64(64 - RANGE_BITS)
@@ -108,26 +136,32 @@ def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(parts[at]), pa.array(filters, pa.binary())], names=["part", "filter"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held = Counted()
         for b in batches:
             new = np.asarray(b.column(0)).view(np.uint64)
-            keys, counts = build_filter(np.concatenate((keys, new)), np.concatenate((counts, np.ones(len(new), np.int64))))
-            if len(keys) >= FILTER_SIZE:
-                yield cut(keys, counts)
-                keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield cut(keys, counts)
-
-    def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, part = np.zeros(0, np.uint64), np.zeros(0, np.int64), key[0].as_py()
+            held.add(new, np.ones(len(new), np.int64))
+            if held.size >= FILTER_SIZE:
+                yield cut(*held.take())
+        if held.size:
+            yield cut(*held.take())
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, part = Counted(), None
         for b in batches:
-            found = [QuotientFilter.unpacked(f.as_py()).fingerprints(part) for f in b.column("filter")]
-            keys = np.concatenate((keys, *(k for k, _ in found)))
-            keys, counts = build_filter(keys, np.concatenate((counts, *(c for _, c in found))))
-        yield pa.RecordBatch.from_arrays([pa.array(keys[counts > 1].view(np.int64))], names=["fp"])
-
+            for range_, packed in zip(b.column("part").to_pylist(), b.column("filter")):
+                if range_ != part and held.size:
+                    yield repeated(*held.take())
+                part = range_
+                held.add(*QuotientFilter.unpacked(packed.as_py()).fingerprints(part))
+        if held.size:
+            yield repeated(*held.take())
+
+    def repeated(keys, counts):
+        return pa.RecordBatch.from_arrays([pa.array(keys[counts > 1].view(np.int64))], names=["fp"])
+
+    # A range's filters follow each other in one task, which holds one range at a time and one batch of filters.
     filters = fingerprints.mapInArrow(build, "part long, filter binary")
-    return filters.groupBy("part").applyInArrow(merge, "fp long")
+    return filters.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "fp long")
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -139,10 +173,14 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     # Byte verification of the suspects only: grouping compares whole texts.
     texts = read.select("_norm", F.xxhash64("_norm").alias("fp")).join(suspects, "fp", "left_semi")
     equal = texts.groupBy("_norm").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.sha2("_norm", 256).alias("sha"))
+    # A group lies in up to SALTS tasks when its rows are told its size: it has one row for each salt that its members drew.
+    marks = marks.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
     first = F.min(F.struct(F.col("_key").isNull().alias("none"), "_key", "row"))
-    groups = (marks.join(equal, "sha", "left_semi").groupBy("sha")
-              .agg(first.alias("first"), F.count(F.lit(1)).alias("n")))
-    found = marks.join(groups, "sha", "left")
+    drawn = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))).alias("drawn")
+    groups = (marks.groupBy("sha").agg(first.alias("first"), F.count(F.lit(1)).alias("n"), drawn)
+              .where("n > 1").join(equal, "sha", "left_semi"))
+    salts = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.getbit("drawn", s) == 1)
+    found = marks.join(groups.select("sha", "first", "n", F.explode(salts).alias("salt")), ["sha", "salt"], "left")
     alone = F.col("n").isNull()
     return found.select(F.col("_key").alias(key), F.when(alone, F.col("_key")).otherwise(F.col("first._key")).alias("keep_id"),
                         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
