@@ -1,15 +1,18 @@
 """Balanced label propagation into shards of near equal bytes. DataFrame functions only.
 
 Documents with equal texts are linked. Copies are bundled by text and a hash of the key: a group of any size is at most
-`BUNDLES` vertices, and only groups of two rows or more have any. Groups are seeded whole: those above `LARGE` of a shard,
-of which there is a bounded number, from the largest on, each into the emptiest shard, as long as it fits there; one that
-fits none is dealt by bundles to as few shards as have room. The others, sorted by a hash, are laid along the room that is
-left, and one that lies across a border goes where its middle is: a shard is over by `LARGE`, or by one bundle that fits nowhere, at most.
-
-Then labels are propagated, which only groups in several shards take part in. In every round each of their vertices asks for the shard that holds
-most of its neighbours' bytes, as long as that shard has room; the askers of a shard are admitted in classes by hash as
-long as whole classes fit its quota, so linked documents gather and no shard overflows. Rounds end when no more than
-`SETTLED` of the linked bytes moved in the last one. Documents without links cut no edges: they are laid along the room
+`BUNDLES` vertices, and only groups of two rows or more have any. Every vertex starts in a shard drawn by its hash, so a group
+starts scattered and most of its edges are cut. In each round the vertices of a group ask for the shard that holds most of its bytes.
+What may go from one shard to another is a quota: what the two ask of each other, and beyond that what fits the room of the target
+and what leaves it, so full shards can still exchange. Askers are admitted in classes by a hash of the group, the same for all pairs of shards in
+a round, so a group that is admitted gathers at once; a quota that ends inside a class is not used up, which may leave a shard
+over by a class for each other shard until the next round. Every move goes to where more of the group is: cut edges fall in
+every round. Rounds end when no more than `SETTLED` of the linked bytes moved in the last one. The few groups that quotas have left
+in several shards are laid whole, in order of a hash, along the room that is left; one that lies across a border goes where its middle is.
+
+Groups above `LARGE` of a shard, of which there is a bounded number, are too large for quotas and are placed before that, from the largest on, each into
+the emptiest shard, as long as it fits there; one that fits none is dealt by bundles to as few shards as have room. A shard is over
+by `LARGE`, or by one bundle that fits nowhere, at most. Documents without links cut no edges: they are laid along the room
 that is left, which evens the sizes.
 
 Nulls in `text` have size 1 and are no copies of anything, as are empty texts. Repeated rows get
@@ -20,7 +23,8 @@ not read.
 from __future__ import annotations
 
 import heapq
-from itertools import count
+from collections.abc import Iterator
+from itertools import accumulate, count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -29,12 +33,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged, text_or_empty, with_bucket_starts
 
 #: Vertices of a group of copies, classes by which askers are admitted.
-BUNDLES, CLASSES = 64, 256
+BUNDLES, CLASSES = 64, 4096
 #: Groups above this share of a shard are placed one by one: at most shards / LARGE of them, and BUNDLES vertices of each that fits none, are
 #: held by the driver. Rounds end when no more than the second share of the linked bytes moved.
 LARGE, SETTLED = 1 / 64, 1 / 1000
-#: A shard with less than this share of its size free takes no more, else all would go on asking for a room that fits none.
-FULL = 1 / 8
 #: Cells in which places are counted.
 CELLS = 4096
 
@@ -43,35 +45,71 @@ def _class(columns: list, number: int, salt: str) -> Column:
     return F.pmod(F.xxhash64(*columns, F.lit(salt)), F.lit(number)).cast("int")
 
 
-def _loads(vertices: DataFrame) -> dict[int, int]:
-    """Bytes per shard: as many rows as there are shards."""
-    return {r["label"]: r["bytes"] for r in vertices.groupBy("label").agg(F.sum("bytes").alias("bytes")).collect()}
+def _scattered(bundles: DataFrame, room: list[float]) -> DataFrame:
+    """(h, bundle, bytes, label): every vertex in a shard drawn by its hash, in proportion to the room of the shards."""
+    draw = _class(["h", "bundle"], 1 << 24, "seed") / float(1 << 24)
+    edges = list(accumulate(r / (sum(room) or 1) for r in room))
+    label = sum((F.when(draw >= e, 1).otherwise(0) for e in edges[:-1]), F.lit(0))
+    return bundles.select("h", "bundle", "bytes", label.cast("int").alias("label"))
 
 
-def _lookup(values: dict[int, float], shards: int, label: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(float(values.get(s, 0))) for s in range(shards)]), label + 1)
+def _quotas(asked: dict[tuple[int, int], float], spare: list[float]) -> dict[tuple[int, int], float]:
+    """What may go from shard to shard: at most what is asked, and into no shard more than it has spare and loses.
 
-
-def _round(vertices: DataFrame, shards: int, share: float, number: int) -> DataFrame:
-    loads = _loads(vertices)
-    room = {s: left if (left := share - loads.get(s, 0)) > FULL * share else 0.0 for s in range(shards)}
+    First what two shards ask of each other, which needs no spare. Then whatever a shard with spare can take gives its origin spare.
+    """
+    quota, spare = dict.fromkeys(asked, 0.0), list(spare)
+    for i, j in asked:
+        both = min(asked[i, j], asked.get((j, i), 0.0))
+        quota[i, j] = both
+    takes = [s for s, left in enumerate(spare) if left > 0]
+    # Spare that wanders in small pieces isn't worth more steps; what is not admitted asks again in the next round.
+    for _ in range(16 * len(spare)):
+        if not takes:
+            break
+        to = takes.pop(0)
+        for pair in [p for p in asked if p[1] == to and asked[p] > quota[p]]:
+            step = min(asked[pair] - quota[pair], spare[to])
+            if step <= 0:
+                break
+            quota[pair] += step
+            spare[to] -= step
+            spare[pair[0]] += step
+            if spare[pair[0]] > 0 and pair[0] not in takes:
+                takes.append(pair[0])
+    return quota
+
+
+def _round(vertices: DataFrame, room: list[float], number: int) -> DataFrame:
+    """The vertices after one round, with `moved`."""
     weights = vertices.groupBy("h", "label").agg(F.sum("bytes").alias("weight"))
-    # Per group: the weight of each shard, and the heaviest one that has room.
-    open_to = F.when(_lookup(room, shards, F.col("label")) > 0, F.struct("weight", (-F.col("label")).alias("minus")))
-    groups = weights.groupBy("h").agg(F.max(open_to).alias("best"), F.map_from_entries(F.collect_list(F.struct("label", "weight"))).alias("held"))
-    asked = vertices.join(groups, "h")
-    target = -F.col("best.minus")
-    wants = F.col("best").isNotNull() & (target != F.col("label")) & (F.col("best.weight") >= F.element_at("held", F.col("label")))
-    # Of two equally heavy shards the lower one attracts, so that copies don't change places for ever.
-    wants = wants & ((F.col("best.weight") > F.element_at("held", F.col("label"))) | (target < F.col("label")))
-    asked = asked.select("h", "bundle", "bytes", "label", F.when(wants, target).alias("to"),
-                         (_class(["h"], CLASSES, f"round{number}") * BUNDLES + _class(["h", "bundle"], BUNDLES, f"admit{number}")).alias("class"))
-    demand = asked.where("to is not null").groupBy("to", "class").agg(F.sum("bytes").alias("asked"))
-    quota = with_bucket_starts(demand, ["to"], ["class"], "asked", "before")
-    fits = F.col("before") + F.col("asked") <= _lookup(room, shards, F.col("to"))
-    moved = asked.join(quota.select("to", "class", fits.alias("fits")), ["to", "class"], "left")
-    goes = F.coalesce("fits", F.lit(False))
-    return moved.select("h", "bundle", "bytes", F.when(goes, F.col("to")).otherwise(F.col("label")).cast("int").alias("label"), goes.alias("moved"))
+    # Equal weights are told apart by a hash, so that no shard is preferred.
+    heaviest = F.max(F.struct("weight", F.xxhash64("h", "label").alias("tie"), "label"))
+    best = weights.groupBy("h").agg(heaviest.alias("best")).select("h", F.col("best.label").alias("best"))
+    asks = staged(vertices.join(best, "h").select(
+        "h", "bundle", "bytes", "label", F.when(F.col("best") != F.col("label"), F.col("best")).alias("to"),
+        _class(["h"], CLASSES, f"round{number}").alias("class")), "sharding")
+    # At most a row for each pair of shards.
+    sums = asks.groupBy("label", "to").agg(F.sum("bytes").alias("bytes")).collect()
+    spare = [r - sum(x["bytes"] for x in sums if x["label"] == s) for s, r in enumerate(room)]
+    quotas = _quotas({(r["label"], r["to"]): float(r["bytes"]) for r in sums if r["to"] is not None}, spare)
+    quota = vertices.sparkSession.createDataFrame([(*k, v) for k, v in quotas.items()], "label int, to int, quota double")
+    classes = asks.where("to is not null").groupBy("label", "to", "class").agg(F.sum("bytes").alias("asked"))
+    admitted = (with_bucket_starts(classes, ["label", "to"], ["class"], "asked", "before").join(F.broadcast(quota), ["label", "to"])
+                .where(F.col("before") + F.col("asked") <= F.col("quota") * (1 + 1e-6)).select("label", "to", "class", F.lit(True).alias("goes")))
+    # At most CLASSES rows for each pair of shards.
+    told = asks.join(admitted, ["label", "to", "class"], "left").withColumn("moved", F.coalesce("goes", F.lit(False)))
+    return told.select("h", "bundle", "bytes", F.when(F.col("moved"), F.col("to")).otherwise(F.col("label")).alias("label"), "moved")
+
+
+def propagate(vertices: DataFrame, room: list[float], rounds: int | None = None) -> Iterator[DataFrame]:
+    """The vertices (h, bundle, bytes, label, moved) after each round, until hardly any moves; `room` is what a shard holds."""
+    linked = vertices.agg(F.sum("bytes")).first()[0] or 0
+    for number in count() if rounds is None else range(rounds):
+        vertices = staged(_round(vertices, room, number), "sharding")
+        yield vertices
+        if (vertices.where("moved").agg(F.sum("bytes")).first()[0] or 0) <= SETTLED * linked:
+            return
 
 
 def _laid(rows: DataFrame, room: list[float], amount: float, *order: str) -> DataFrame:
@@ -118,22 +156,20 @@ def _place_large(groups: DataFrame, bundles: DataFrame, shards: int, share: floa
     return whole, parts, loads
 
 
-def _seeded(groups: DataFrame, bundles: DataFrame, shards: int, share: float) -> DataFrame:
-    """(h, bundle, bytes, label): every group whole in one shard, or, where it fits none, in few."""
-    session = groups.sparkSession
-    whole, parts, loads = _place_large(groups, bundles, shards, share)
-    small = groups.where(F.col("bytes") <= LARGE * share).select("h", F.col("bytes").alias("size"), _class(["h"], CELLS, "group").alias("cell"))
-    amount = small.agg(F.sum("size")).first()[0] or 0
-    small = _laid(small, [max(0.0, share - x) for x in loads], amount, "h").select("h", F.col("shard").alias("label"))
-    named = small.unionAll(session.createDataFrame(whole, "h string, label int"))
-    linked = bundles.join(named, "h").select("h", "bundle", "bytes", "label")
-    pieces = F.broadcast(session.createDataFrame(parts, "h string, bundle int, label int"))
-    return linked.unionAll(bundles.join(pieces, ["h", "bundle"]).select("h", "bundle", "bytes", "label"))
+def _settled(vertices: DataFrame, room: list[float]) -> DataFrame:
+    """(h, label): the shard of every group, which is its own where rounds have gathered it and else one with room."""
+    homes = staged(vertices.groupBy("h").agg(F.min("label").alias("label"), (F.min("label") == F.max("label")).alias("whole"),
+                                             F.sum("bytes").alias("size")), "sharding")
+    held = {r["label"]: r["size"] for r in homes.where("whole").groupBy("label").agg(F.sum("size").alias("size")).collect()}
+    rest = homes.where("not whole").select("h", "size", _class(["h"], CELLS, "group").alias("cell"))
+    amount = rest.agg(F.sum("size")).first()[0] or 0
+    laid = _laid(rest, [max(0.0, r - held.get(s, 0)) for s, r in enumerate(room)], amount, "h")
+    return homes.where("whole").select("h", "label").unionAll(laid.select("h", F.col("shard").alias("label")))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text", rounds: int | None = None) -> DataFrame:
     """One row per document: key, size, text_crc32, shard, slot."""
-    body = text_or_empty(f"`{text}`")
+    spark, body = docs.sparkSession, text_or_empty(f"`{text}`")
     base = staged(docs.select(
         F.col(f"`{key}`").alias("_key"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("crc"),
         F.when(F.octet_length(body) > 0, F.sha2(body, 256)).alias("h")), "sharding")
@@ -143,13 +179,18 @@ def shard_documents(docs: DataFrame, shards: int = 8, key: str = "doc_id", text:
     bundles = rows.where("h is not null").groupBy("h", "bundle").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     bundles = staged(bundles, "sharding")
     groups = staged(bundles.groupBy("h").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where("n > 1"), "sharding")
-    vertices = staged(_seeded(groups, bundles, shards, share), "sharding")
-    linked = vertices.agg(F.sum("bytes")).first()[0] or 0
-    for number in count() if rounds is None else range(rounds):
-        vertices = staged(_round(vertices, shards, share, number), "sharding")
-        if (vertices.where("moved").agg(F.sum("bytes")).first()[0] or 0) <= SETTLED * linked:
-            break
-    loads = _loads(vertices)
+    whole, parts, loads = _place_large(groups, bundles, shards, share)
+    room = [max(0.0, share - x) for x in loads]
+    small = bundles.join(groups.where(F.col("bytes") <= LARGE * share).select("h"), "h")
+    last = start = staged(_scattered(small, room), "sharding")
+    for last in propagate(start, room, rounds):
+        pass
+    named = _settled(last, room).unionAll(spark.createDataFrame(whole, "h string, label int"))
+    pieces = F.broadcast(spark.createDataFrame(parts, "h string, bundle int, label int"))
+    vertices = staged(bundles.join(named, "h").select("h", "bundle", "bytes", "label")
+                      .unionAll(bundles.join(pieces, ["h", "bundle"]).select("h", "bundle", "bytes", "label")), "sharding")
+    # A row for each shard.
+    loads = {r["label"]: r["bytes"] for r in vertices.groupBy("label").agg(F.sum("bytes").alias("bytes")).collect()}
     placed = rows.join(vertices.select("h", "bundle", "label"), ["h", "bundle"], "left")
     placed = staged(placed.select("_key", "size", "crc", "label", _class(["_key", "h"], CELLS, "cell").alias("cell")), "sharding")
     # Documents without links along the room that is left.
