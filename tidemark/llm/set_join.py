@@ -12,7 +12,8 @@ differ. Such sets, which hashing makes very rare, index their empty segments too
 
 Sets that meet are candidates. Equal sets are one class from the start. First all members of a meeting are compared
 with one of them only; then, where the components of a meeting still differ, with the nearest member of
-another component; then every pair that is left across components. Pairs are first held to a lower bound of their difference (counts per hash class), then verified on
+another component; then every pair that is left across components, for which a meeting is cut into blocks of like sizes and
+every allowed pair of blocks is compared by itself, in bounded memory. Pairs are first held to a lower bound of their difference (counts per hash class), then verified on
 the whole sets. So a group of copies or near copies is never expanded into its pairs, and no link is lost. No partner
 list is capped.
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
-from tidemark.llm.common import staged, text_or_empty
+from tidemark.llm.common import staged, text_or_empty, with_bucket_starts
 from tidemark.llm.components import components
 
 #: Similarity in hundredths, words in a shingle, growth of the size bands.
@@ -45,8 +46,10 @@ LEAST, WORDS, BAND = 80, 5, 1.25
 COARSE, FINE = 64, 512
 #: Entries that a task gathers before it hands them on, and hash buckets for each shuffle partition.
 HELD, BUCKETS = 1_000_000, 4
-#: Members of meetings that are compared at once.
-MEMBERS = 50_000
+#: Members of meetings in a row, in a block, and those that are compared at once where their blocks are small.
+ROW, BLOCK, MEMBERS = 2000, 4096, 20_000
+#: Hash cells in which the members of one size are counted.
+CELLS = 16
 _WORD_CACHE = 200_000
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -181,7 +184,7 @@ def describe(docs: DataFrame) -> DataFrame:
 
 
 def meetings(docs: DataFrame) -> DataFrame:
-    """`nodes`: the packed names of the sets that share an entry, two or more; one row for each such group of names."""
+    """(meeting, least, nodes): packed names of the sets that share an entry, two or more, at most `ROW` in a row; the same names meet once."""
     parts = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def pack(sigs, nodes) -> pa.RecordBatch:
@@ -225,11 +228,24 @@ def meetings(docs: DataFrame) -> DataFrame:
         sig, node = sig[new], node[new]
         first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
         ends = np.append(first[1:], len(sig))
-        groups = {node[a:e].tobytes() for a, e in zip(first[ends - first > 1], ends[ends - first > 1])}
-        yield pa.RecordBatch.from_arrays([pa.array(list(groups), pa.binary())], names=["nodes"])
+        known, out = set(), []
+        for a, e in zip(first[ends - first > 1], ends[ends - first > 1]):
+            name = set_name(node[a:e])
+            if name not in known:
+                known.add(name)
+                out += [(name, node[a], node[i : min(i + ROW, e)].tobytes()) for i in range(a, e, ROW)]
+            if len(out) >= ROW:
+                yield rows(out)
+                out = []
+        yield rows(out)
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        names, leasts, packed = zip(*out) if out else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(leasts, pa.int64()), pa.array(packed, pa.binary())],
+                                          names=["meeting", "least", "nodes"])
 
     packed = docs.select("_text").mapInArrow(index, "bucket long, sigs binary, nodes binary")
-    return packed.groupBy("bucket").applyInArrow(meet, "nodes binary").distinct()
+    return packed.groupBy("bucket").applyInArrow(meet, "meeting long, least long, nodes binary").distinct()
 
 
 def _pairs_with_first(groups: DataFrame) -> DataFrame:
@@ -237,13 +253,13 @@ def _pairs_with_first(groups: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parts = [np.frombuffer(x.as_py(), np.int64) for x in b.column(0)]
+            parts = [np.frombuffer(x.as_py(), np.int64) for x in b.column(1)]
             if parts:
-                a = np.concatenate([np.full(len(p) - 1, p[0]) for p in parts])
-                both = np.unique(np.stack((a, np.concatenate([p[1:] for p in parts]))), axis=1)
+                both = np.stack((np.repeat(np.asarray(b.column(0)), [len(p) for p in parts]), np.concatenate(parts)))
+                both = np.unique(both[:, both[0] != both[1]], axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(both[0].copy()), pa.array(both[1].copy())], names=["a", "b"])
 
-    return groups.mapInArrow(run, "a long, b long").distinct()
+    return groups.select("least", "nodes").mapInArrow(run, "a long, b long").distinct()
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
@@ -293,59 +309,110 @@ def _verified(pairs: DataFrame, docs: DataFrame, marks: DataFrame, least: int) -
     return met.mapInArrow(run, "a long, b long")
 
 
-def _pairs_across(groups: DataFrame, roots: DataFrame, nodes: DataFrame, least: int, nearest: bool) -> DataFrame:
-    """(a, b): near pairs of different components within a meeting; with `nearest` one for each member at most."""
-    members = groups.withColumn("meeting", F.xxhash64("nodes")).select("meeting", "nodes")
+def blocks_of(rows: DataFrame, size: int) -> DataFrame:
+    """Adds `block`, numbered from 0 in order of n within a meeting: about `size` members each, at most twice that but for chance.
+
+    Members are counted in cells of (n, hash) before any shuffle of theirs; a cell that is larger than a block is dealt by a second hash.
+    """
+    cell = ["meeting", "n", "cell"]
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("node"), F.lit(CELLS)))
+    counted = with_bucket_starts(rows.groupBy(*cell).agg(F.count("*").alias("count")), ["meeting"], ["n", "cell"], "count", "start")
+    placed = counted.select(*cell, F.floor(F.col("start") / size).alias("block"), F.ceil(F.col("count") / size).alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))
+    return rows.join(placed, cell).withColumn("block", F.col("block") + part).drop("cell", "parts")
+
+
+def block_pairs(blocks: DataFrame, least: int) -> DataFrame:
+    """(meeting, low, high): blocks of one meeting, or one block twice, that may hold a pair by their sizes and components."""
+    about = blocks.groupBy("meeting", "block").agg(F.min("n").alias("from"), F.max("n").alias("to"),
+                                                   F.min("root").alias("one"), F.max("root").alias("other"))
+    side = lambda x: about.select("meeting", *[F.col(c).alias(f"{x}_{c}") for c in ("block", "from", "to", "one", "other")])
+    mixed_roots = F.expr("least(low_one, high_one) != greatest(low_other, high_other)")
+    # Neighbouring blocks may overlap in size, so either side may hold the smaller set.
+    sizes = F.expr(f"100 * low_to >= {least} * high_from AND 100 * high_to >= {least} * low_from")
+    return (side("low").join(side("high"), "meeting").where("low_block <= high_block").where(mixed_roots).where(sizes)
+            .select("meeting", F.col("low_block").alias("low"), F.col("high_block").alias("high")))
+
+
+def _pairs_across(groups: DataFrame, roots: DataFrame, nodes: DataFrame, least: int, nearest: bool, block: int = BLOCK) -> DataFrame:
+    """(a, b): near pairs of different components within a meeting; with `nearest` one for each member at most.
+
+    A meeting is cut into blocks in order of size, and every allowed pair of blocks is compared by itself: a task streams over its
+    pairs of blocks and holds one of them, or several small ones of `MEMBERS` members together.
+    """
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for meeting, packed in zip(b.column(0).to_pylist(), b.column(1)):
-                node = np.frombuffer(packed.as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), meeting)), pa.array(node)], names=["meeting", "node"])
+            for at in range(0, b.num_rows, 64):
+                parts = [np.frombuffer(x.as_py(), np.int64) for x in b.column(1)[at : at + 64]]
+                meeting = np.repeat(np.asarray(b.column(0)[at : at + 64]), [len(p) for p in parts])
+                yield pa.RecordBatch.from_arrays([pa.array(meeting), pa.array(np.concatenate(parts))], names=["meeting", "node"])
 
-    rows = members.mapInArrow(unpack, "meeting long, node long").join(roots, "node", "left")
+    rows = groups.select("meeting", "nodes").mapInArrow(unpack, "meeting long, node long").join(roots, "node", "left")
     rows = staged(rows.select("meeting", "node", F.coalesce("root", "node").alias("root")), "set-join")
     split = rows.groupBy("meeting").agg((F.min("root") != F.max("root")).alias("split")).where("split").select("meeting")
-    left = rows.join(split, "meeting", "left_semi").join(nodes, "node").select("meeting", "node", "root", "n", "coarse", "fine")
-
-    def across(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(batches)).sort_by([("meeting", "ascending"), ("n", "ascending")])
-        meeting, node, root, n = (np.asarray(t.column(c)) for c in ("meeting", "node", "root", "n"))
+    sized = rows.join(split, "meeting", "left_semi").join(nodes.select("node", "n"), "node")
+    blocks = staged(blocks_of(sized, block), "set-join")
+    pairs = block_pairs(blocks, least)
+    # A block goes to each of its pairs; a pair of a block with itself takes it once.
+    sides = F.when(F.col("low") == F.col("high"), F.array("low")).otherwise(F.array("low", "high"))
+    wanted = pairs.select("meeting", "low", "high", F.explode(sides).alias("block"))
+    dealt = blocks.join(wanted, ["meeting", "block"]).join(nodes.select("node", "coarse", "fine"), "node")
+
+    def compare(t: pa.Table) -> pa.RecordBatch:
+        meeting, low, high, side, node, root, n = (np.asarray(t.column(c)) for c in ("meeting", "low", "high", "block", "node", "root", "n"))
         counts = _counts(t.column("coarse"), COARSE), _counts(t.column("fine"), FINE)
-        _, first = np.unique(meeting, return_index=True)
+        new = (meeting[1:] != meeting[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        first = np.flatnonzero(np.concatenate(([True], new)))
         ends = np.repeat(np.append(first[1:], len(node)), np.diff(np.append(first, len(node))))
         closest, partner = np.full(len(node), 1 << 60), np.zeros(len(node), np.int64)
-        pairs = [np.zeros((2, 0), np.int64)]
+        found = [(np.zeros(0, np.int64),) * 3]
         left, step = np.arange(len(node)), 0
-        # All members with the one `step` places on, in order of size within their meeting, at once.
+        # All members with the one `step` places on, in order of size within their pair of blocks, at once.
         while len(left):
             step += 1
             left = left[left + step < ends[left]]
             left = left[n[left] * 100 >= least * n[left + step]]
-            for at in range(0, len(left), MEMBERS):
-                i = left[at : at + MEMBERS]
-                i = i[root[i] != root[i + step]]
-                for c in counts:  # the sharp look only at what the first one leaves
-                    apart = np.abs(c[i] - c[i + step]).sum(1)
-                    near = apart <= most_different(n[i] + n[i + step], least)
-                    i, apart = i[near], apart[near]
-                if nearest:
-                    closer = apart < closest[i]
-                    closest[i[closer]], partner[i[closer]] = apart[closer], node[i[closer] + step]
-                else:
-                    pairs.append(np.stack((node[i], node[i + step])))
+            i = left[(root[left] != root[left + step]) & ((low[left] == high[left]) | (side[left] != side[left + step]))]
+            for c in counts:  # the sharp look only at what the first one leaves
+                apart = np.abs(c[i] - c[i + step]).sum(1)
+                near = apart <= most_different(n[i] + n[i + step], least)
+                i, apart = i[near], apart[near]
+            if nearest:
+                closer = apart < closest[i]
+                closest[i[closer]], partner[i[closer]] = apart[closer], node[i[closer] + step]
+            else:
+                found.append((node[i], node[i + step], apart.astype(np.int64)))
         if nearest:
-            found = np.flatnonzero(closest < 1 << 60)
-            pairs.append(np.stack((node[found], partner[found])))
-        a, b = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(a.copy()), pa.array(b.copy())], names=["a", "b"])
-
-    buckets = BUCKETS * int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = left.withColumn("bucket", F.pmod("meeting", F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInArrow(across, "a long, b long").distinct()
+            i = np.flatnonzero(closest < 1 << 60)
+            found.append((node[i], partner[i], closest[i]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["node", "other", "apart"])
 
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            # Hand on what is held at the last border between pairs of blocks, once that is enough.
+            if sum(x.num_rows for x in held) + b.num_rows > MEMBERS and b.num_rows:
+                t = pa.Table.from_batches([*held, b])
+                at = np.asarray(t.column("meeting")), np.asarray(t.column("low")), np.asarray(t.column("high"))
+                borders = np.flatnonzero(np.any([x[1:] != x[:-1] for x in at], axis=0))
+                if len(borders):
+                    yield compare(t.slice(0, borders[-1] + 1))
+                    t = t.slice(borders[-1] + 1)
+                held = t.to_batches()
+            else:
+                held.append(b)
+        if sum(x.num_rows for x in held):
+            yield compare(pa.Table.from_batches(held))
+
+    border = ["meeting", "low", "high"]
+    seen = dealt.repartition(*border).sortWithinPartitions(*border, "n").mapInArrow(across, "node long, other long, apart long")
+    if nearest:
+        seen = seen.groupBy("node").agg(F.min(F.struct("apart", "other")).alias("best")).select("node", "best.other")
+    return seen.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, block: int = BLOCK) -> DataFrame:
     """One row per document: key, n_shingles, component_id (the smallest key that links reach)."""
     body = text_or_empty(f"`{text}`")
     read = docs.select(F.col(f"`{key}`").alias("_key"), F.xxhash64(body).alias("_h1"), F.xxhash64(F.lit("second"), body).alias("_h2"),
@@ -360,7 +427,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     roots = components(links)
     # The nearest of other components first: where there are links across, they leave few components to compare in full.
     for nearest in (True, False):
-        more = staged(_pairs_across(groups, roots, nodes, least, nearest).join(seen, ["a", "b"], "left_anti"), "set-join")
+        more = staged(_pairs_across(groups, roots, nodes, least, nearest, block).join(seen, ["a", "b"], "left_anti"), "set-join")
         if not more.isEmpty():
             seen = seen.unionAll(more)
             links = staged(links.unionAll(_verified(more, read, marks, least)), "set-join")
