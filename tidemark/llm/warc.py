@@ -5,6 +5,9 @@ and neither the writer nor the reader ever holds more than one chunk of it. Both
 to chunk; the last chunk of a record has the digest and length of the whole. Of equal payloads the one with
 the smallest id is stored, the others are revisit records that refer to it.
 
+Payloads are cut before anything else; the chunk rows are written once and shuffled once, by record. Which record is the
+first of its payload is decided on narrow rows (record, digest) alone.
+
 Each task streams into files of its own in the shared folder, one gzip member per record. The writer's result lists the
 files of successful tasks; only these are read back, so what a lost task has left behind is never seen.
 
@@ -27,6 +30,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
 from tidemark.llm.common import staged, text_or_empty
 from tidemark.session import scratch
@@ -35,6 +39,8 @@ CHUNK_BYTES, FILE_BYTES = 1 << 18, 1 << 30
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 #: Python batches hold few chunk rows, so that a worker's memory is bounded by chunks and not by records.
 BATCH_ROWS = 64
+#: Shares in which the records of one payload find their first.
+SALTS = 16
 RECORD_ID, NO_ID = "urn:record:", "-"
 
 
@@ -45,17 +51,48 @@ def record_table(pages: DataFrame, key: str = "page_id", address: str = "url", p
     `record` and `refers_to` are the keys as text. Payloads of `dedup_from` bytes or more are stored once.
     """
     body = text_or_empty(f"`{payload}`").cast("binary")
-    rows = pages.select(F.col(f"`{key}`").alias("record"), F.col(f"`{address}`").cast("string").alias("address"), body.alias("body"))
-    rows = rows.withColumn("digest", F.sha1("body")).withColumn("n_bytes", F.octet_length("body").cast("long"))
-    first = rows.groupBy("digest", "n_bytes").agg(F.min("record").alias("first"))
-    known = rows.join(first, ["digest", "n_bytes"])
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("record"),
+                        F.col(f"`{address}`").cast("string").alias("address"), body.alias("body"))
+    chunks = F.greatest(F.lit(1), F.ceil(F.octet_length("body") / chunk_bytes)).cast("int")
+    cut = rows.withColumn("chunks", chunks).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    cut = cut.select("row", "record", "address", "chunk", "chunks", F.substring("body", F.col("chunk") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("data"))
+    schema = StructType([*cut.schema.fields]).add("digest", StringType()).add("n_bytes", LongType())
+    cut = staged(cut.mapInArrow(_digested, schema), "warc-chunks")
+    # Copies are found on narrow rows, one for each record. Only payloads that occur again are joined, in SALTS shares.
+    whole = cut.where("chunk = chunks - 1").select("row", "record", "digest", "n_bytes", "chunks", F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt"))
+    first = (whole.groupBy("digest", "n_bytes").agg(F.min("record").alias("first"), F.count("*").alias("count")).where("count > 1")
+             .select("digest", "n_bytes", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")))
     again = (F.col("n_bytes") >= dedup_from) & F.col("first").isNotNull() & ~F.col("record").eqNullSafe(F.col("first"))
-    known = known.withColumn("again", again).withColumn("stored", F.when(~again, F.col("body")).otherwise(F.lit(b"")))
-    chunks = F.greatest(F.lit(1), F.ceil(F.octet_length("stored") / chunk_bytes)).cast("int")
-    return (known.withColumn("chunks", chunks).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select(F.col("record").cast("string").alias("record"), "address", F.when(F.col("again"), "revisit").otherwise("response").alias("kind"),
-                    F.when(F.col("again"), F.col("first").cast("string")).alias("refers_to"), "digest", "n_bytes", "chunk", "chunks",
-                    F.substring("stored", F.col("chunk") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("data")))
+    marks = (whole.join(first, ["digest", "n_bytes", "salt"], "left").withColumn("again", F.coalesce(again, F.lit(False)))
+             .where("again OR chunks > 1").select("row", "again", F.col("first").cast("string").alias("first"), F.col("digest").alias("found"), F.col("n_bytes").alias("length")))
+    # A record's chunks come to one task in order; its header needs the digest that its last chunk has.
+    known = cut.repartition("row").join(staged(marks, "warc-marks"), "row", "left").withColumn("again", F.coalesce("again", F.lit(False)))
+    known = known.where("NOT again OR chunk = chunks - 1").sortWithinPartitions("row", "chunk")
+    return known.select(
+        F.col("record").cast("string").alias("record"), "address", F.when(F.col("again"), "revisit").otherwise("response").alias("kind"),
+        F.when(F.col("again"), F.col("first")).alias("refers_to"), F.coalesce("found", "digest").alias("digest"), F.coalesce("length", "n_bytes").alias("n_bytes"),
+        F.when(F.col("again"), 0).otherwise(F.col("chunk")).alias("chunk"), F.when(F.col("again"), 1).otherwise(F.col("chunks")).alias("chunks"),
+        F.when(F.col("again"), F.lit(b"")).otherwise(F.col("data")).alias("data"))
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds digest and n_bytes of the whole payload to the last chunk of each record, carried over the chunks before it."""
+    sha, size = hashlib.sha1(), 0
+    for b in batches:
+        for at in range(0, b.num_rows, BATCH_ROWS):
+            part = b.slice(at, BATCH_ROWS)
+            digests, lengths = [], []
+            for chunk, chunks, data in zip(part["chunk"].to_pylist(), part["chunks"].to_pylist(), part["data"]):
+                if chunk == 0:
+                    sha, size = hashlib.sha1(), 0
+                held = data.as_buffer()
+                sha.update(held)
+                size += held.size
+                last = chunk == chunks - 1
+                digests.append(sha.hexdigest() if last else None)
+                lengths.append(size if last else None)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(digests, pa.string()), pa.array(lengths, pa.int64())],
+                                             names=[*part.schema.names, "digest", "n_bytes"])
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
