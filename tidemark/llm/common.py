@@ -16,14 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """The rows of `df`, written once below the shared folder and read back.
 
     Cuts the lineage: rows can't change when a lost executor's tasks run again, and iterative
     plans stay short.
     """
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

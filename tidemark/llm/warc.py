@@ -57,7 +57,7 @@ def record_table(pages: DataFrame, key: str = "page_id", address: str = "url", p
     cut = rows.withColumn("chunks", chunks).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     cut = cut.select("row", "record", "address", "chunk", "chunks", F.substring("body", F.col("chunk") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("data"))
     schema = StructType([*cut.schema.fields]).add("digest", StringType()).add("n_bytes", LongType())
-    cut = staged(cut.mapInArrow(_digested, schema), "warc-chunks")
+    cut = staged(cut.mapInArrow(_digested, schema), "warc-chunks", "zstd")
     # Copies are found on narrow rows, one for each record. Only payloads that occur again are joined, in SALTS shares.
     whole = cut.where("chunk = chunks - 1").select("row", "record", "digest", "n_bytes", "chunks", F.pmod(F.xxhash64("row"), F.lit(SALTS)).alias("salt"))
     first = (whole.groupBy("digest", "n_bytes").agg(F.min("record").alias("first"), F.count("*").alias("count")).where("count > 1")
