@@ -5,8 +5,10 @@ wait in state until the watermark says that nothing older can come; the key's ti
 them out in time order. Only what still waits is held, and it is held in the state store, not in
 the Python worker.
 
-Waiting rows are appended in lots to buckets of time and never rewritten, but for the one bucket that the
-watermark parts. A key has one timer, at the first time at which it has something to do. A key's state ends
+Waiting rows are sorted in lots and stored in entries of many rows each, so the calls to the store are few. But for small
+ones, no entry crosses a border between buckets of time, which are counted from the watermark and double in length: an entry that the watermark
+parts is stored anew, a row in a large one at most once for each doubling. The timer merges the entries that are due and opens each when its first row's turn comes.
+A key has one timer, at the first time at which it has something to do. A key's state ends
 with the first watermark after which no row can make use of it: with the wait's limit, with the end of the open
 period, or, where a `ttl` is given, that long after the key's last row.
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
+from heapq import heappop, heappush, heapreplace
 from itertools import groupby, islice
 
 from pyspark.sql import Column, DataFrame, Row
@@ -30,8 +33,9 @@ from tidemark.operators.periods import FLAGGED, PASSED
 from tidemark.operators.sequences import BROKEN, DONE, TIMED_OUT
 
 WAITING = "rows array<struct<us: bigint, id: bigint, tag: string, amount: bigint>>"
-#: Rows that go into the state at once, and the length of a bucket of time in microseconds.
-LOT, BUCKET = 4_096, 64_000_000
+#: Rows that are sorted together, rows of an entry of the state at most, rows up to which an entry may go on into the next bucket,
+#: and the length of the first bucket of time in microseconds.
+LOT, ENTRY, SMALL, BUCKET = 32_768, 1_024, 64, 64_000_000
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -39,6 +43,10 @@ def at(us: int | None) -> datetime | None:
     return None if us is None else EPOCH + us * MICROSECOND
 
 
+def _order(row: tuple) -> tuple:
+    return row[0], row[1], row[2] or ""
+
+
 class InOrder(StatefulProcessor):
     """Buffers the rows of a key and hands them to `step` one by one in (time, id, tag) order.
 
@@ -52,62 +60,88 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "bucket bigint, lot bigint", WAITING)
+        self.waiting = handle.getMapState("waiting", "start bigint, entry bigint", WAITING)
         self.state = handle.getValueState("state", self.state_schema)
-        #: The number of the next lot, and the time of the key's timer in milliseconds.
-        self.agenda = handle.getValueState("agenda", "lots bigint, due bigint")
+        #: The number of the next entry, and the time of the key's timer in milliseconds.
+        self.agenda = handle.getValueState("agenda", "entries bigint, due bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # Rows go on to the state in lots, so the worker never holds a whole key.
-        lots, due = self.agenda.get() if self.agenda.exists() else (0, None)
-        then = due
-        while lot := list(islice(rows, LOT)):
-            lots = self.store([(r["us"], r["id"], r["tag"], r["amount"]) for r in lot], lots)
-            least = min(r["us"] for r in lot) // 1000
+        entries, due = self.agenda.get() or (0, None)
+        then, final = due, timerValues.getCurrentWatermarkInMs() * 1000
+        while lot := sorted(((r["us"], r["id"], r["tag"], r["amount"]) for r in islice(rows, LOT)), key=_order):
+            entries = self.store(lot, final, entries)
+            least = lot[0][0] // 1000
             then = least if then is None else min(then, least)
         if then != due and due is not None:
             self.handle.deleteTimer(due)
         if then != due:
             self.handle.registerTimer(then)
-        self.agenda.update((lots, then))
+        self.agenda.update((entries, then))
         return iter(())
 
-    def store(self, rows: list[tuple], lots: int) -> int:
-        buckets: dict[int, list] = {}
-        for r in rows:
-            buckets.setdefault(r[0] // BUCKET, []).append(r)
-        for bucket, new in buckets.items():
-            self.waiting.updateValue((bucket, lots), (new,))
-        return lots + 1
+    def store(self, rows: list[tuple], final: int, entries: int) -> int:
+        """Write sorted rows; returns the number of the next entry."""
+        entry: list[tuple] = []
+        for _, bucket in groupby(rows, key=lambda r: max(0, (r[0] - final) // BUCKET).bit_length()):
+            for row in bucket:
+                if len(entry) == ENTRY:
+                    entries = self.put(entry, entries)
+                entry.append(row)
+            if len(entry) >= SMALL:
+                entries = self.put(entry, entries)
+        return self.put(entry, entries) if entry else entries
+
+    def put(self, entry: list[tuple], entries: int) -> int:
+        self.waiting.updateValue((entry[0][0], entries), (entry[:],))
+        entry.clear()
+        return entries + 1
+
+    def taken(self, final: int, rest: list[tuple]) -> Iterator[tuple]:
+        """The rows up to `final` in order, out of the state. `rest` gets the later rows of the entries that were opened,
+        then `self.later` is the start of the first entry that was not."""
+        opened: list[tuple] = []  # heap of (order, entry, row, further rows)
+        self.later = None
+        for start, entry in [*sorted(map(tuple, self.waiting.keys())), (None, None)]:
+            before = final + 1 if start is None else min(start, final + 1)
+            while opened and opened[0][0][0] < before:
+                _, number, row, more = opened[0]
+                yield row
+                if (row := next(more, None)) is None:
+                    heappop(opened)
+                else:
+                    heapreplace(opened, (_order(row), number, row, more))
+            if start is None or start > final:
+                self.later = start
+                break
+            more = iter([tuple(r) for r in self.waiting.getValue((start, entry))[0]])
+            self.waiting.removeKey((start, entry))
+            row = next(more)
+            heappush(opened, (_order(row), entry, row, more))
+        for _, _, row, more in opened:
+            rest += [row, *more]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         due = expiredTimerInfo.getExpiryTimeInMs()
         # No row at or before the watermark can come any more.
         final = timerValues.getCurrentWatermarkInMs() * 1000
-        before = self.state.get() if self.state.exists() else None
-        state, lots = before, self.agenda.get()[0]
-        entries, times, out = sorted(self.waiting.keys()), [], []
-        for bucket, group in groupby(entries, key=lambda e: e[0]):
-            if bucket * BUCKET > final:
-                times.append(bucket * BUCKET)
-                break
-            held: list[tuple] = []
-            for entry in group:
-                held += [tuple(r) for r in self.waiting.getValue(tuple(entry))[0]]
-                self.waiting.removeKey(tuple(entry))
-            for row in sorted((r for r in held if r[0] <= final), key=lambda r: (r[0], r[1], r[2] or "")):
-                if state is not None and (end := self.ends(state)) is not None and end <= row[0]:
-                    out += self.ended(state)
-                    state = None
-                state, results = self.step(state, row)
-                out += results
-            if rest := [r for r in held if r[0] > final]:
-                lots = self.store(rest, lots)
-                times.append(min(r[0] for r in rest))
-                break
+        before = self.state.get()
+        before = None if before is None else tuple(before)
+        state, entries, rest = before, self.agenda.get()[0], []
+        for row in self.taken(final, rest):
+            if state is not None and (end := self.ends(state)) is not None and end <= row[0]:
+                yield from self.rows(key, self.ended(state))
+                state = None
+            state, results = self.step(state, row)
+            yield from self.rows(key, results)
+        times = [] if self.later is None else [self.later]
+        if rest:
+            rest.sort(key=_order)
+            entries = self.store(rest, final, entries)
+            times.append(rest[0][0])
         end = self.ends(state) if state is not None else None
         if end is not None and end <= final + 1:
-            out += self.ended(state)
+            yield from self.rows(key, self.ended(state))
             state = None
         elif end is not None:
             times.append(end - 1)
@@ -119,10 +153,12 @@ class InOrder(StatefulProcessor):
             # The timer that runs is removed when this returns; another one must have another time.
             then = max(min(times) // 1000, due + 1)
             self.handle.registerTimer(then)
-            self.agenda.update((lots, then))
+            self.agenda.update((entries, then))
         else:
             self.agenda.clear()
-        return (self.row(*key, *values) for values in out)
+
+    def rows(self, key, results: list[tuple]) -> Iterator[Row]:
+        return (self.row(*key, *values) for values in results)
 
     def step(self, state, row):
         raise NotImplementedError
