@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import BLANKS, staged, text_or_empty, with_bucket_starts
 
 #: Classes of hashed n-grams, in 16 bits. Distinct scores, about, that one task sums up.
-CLASSES, SCORES = 1 << 13, 100_000
+CLASSES, SCORES = 1 << 13, 10_000
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 50, 50
 WINDOW = 3
@@ -78,7 +78,8 @@ def _labelled(labels: DataFrame, key: str, label: str) -> DataFrame:
     known = (labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").cast("int").alias("good"))
              .where("_key is not null and good in (0, 1)"))
     both = known.groupBy("_key").agg(F.min("good").alias("good"), F.max("good").alias("_most"))
-    return both.where("good = _most").drop("_most")
+    # Labels grow with the texts: they are joined by a shuffle at any size, which sorts neither side.
+    return both.where("good = _most").drop("_most").hint("shuffle_hash")
 
 
 def log_ratios(docs: DataFrame, labelled: DataFrame) -> list[float]:
@@ -114,9 +115,8 @@ def _threshold(scored: DataFrame, scores: int = SCORES) -> float | None:
     good, bad, n = cells.agg(F.sum("good"), F.sum("bad"), F.count("*")).first()
     if not good or not bad:
         return None
-    parts = -(-n // scores)
-    cuts = cells.agg(F.percentile_approx("score", [i / parts for i in range(1, parts)])).first()[0] if parts > 1 else []
-    parted = cells.withColumn("part", sum((F.when(F.col("score") < c, 1).otherwise(0) for c in set(cuts)), F.lit(0)))
+    ranged = cells.repartitionByRange(-(-n // scores), F.desc("score"))
+    parted = staged(ranged.withColumn("part", F.spark_partition_id()), "quality")
     sums = parted.groupBy("part").agg(F.sum("good").alias("g"), F.sum("bad").alias("b")).withColumn("_all", F.lit(0))
     # A row for each part.
     starts = with_bucket_starts(with_bucket_starts(sums, ["_all"], ["part"], "g", "good_before"), ["_all"], ["part"], "b", "bad_before")
