@@ -204,9 +204,11 @@ def maintain(spark, sf):
             report = chain.run()
         except InterruptedError:
             pass
-    place = F.regexp_replace(inventory.file_path("_metadata.file_path"), "/[^/]*$", "")
-    live = spark.table(name).groupBy(*FLAGS).agg(
-        F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"), F.max(place).alias("_place"))
+    # By file first: the greatest string of a group is found by sorting its rows, and paths are cut once for each file.
+    per_file = spark.table(name).groupBy(*FLAGS, F.col("_metadata.file_path").alias("_file")).agg(
+        F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+    place = F.regexp_replace(inventory.file_path("_file"), "/[^/]*$", "")
+    live = per_file.groupBy(*FLAGS).agg(F.sum("n").alias("n"), F.sum("quantity").alias("quantity"), F.max(place).alias("_place"))
     return live.join(report, FLAGS).select(
         *FLAGS, "status", "detail", (F.col("_place") == F.col("path")).alias("renewed"), F.lit(len(runs)).alias("runs"), "n", "quantity")
 
